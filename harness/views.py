@@ -166,23 +166,32 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def source_cards(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
     """Cards of one source, one per document, with every column that some source has."""
-    rows = select(documents(spark, sf_dir), cards_sql(source))
+    rows = select(documents(spark, sf_dir), {"doc_id": "doc_id", **cards_sql(source)})
     skills = F.when(F.col("skills_list").isNotNull(), F.split("skills_list", ","))
     return rows.withColumn("skills_raw", skills).drop("skills_list")
 
 
 def source_details(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
-    return select(documents(spark, sf_dir), details_sql(source))
+    return select(documents(spark, sf_dir), {"doc_id": "doc_id", **details_sql(source)})
 
 
-def silver(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
+def inputs(spark: SparkSession, sf_dir: str, source: str) -> tuple[DataFrame, DataFrame | None]:
     details = None if source == "ithub" else source_details(spark, sf_dir, source)
-    return plans_silver.silver(source_cards(spark, sf_dir, source), details, source)
+    return source_cards(spark, sf_dir, source), details
+
+
+def silver(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
+    return plans_silver.silver(*inputs(spark, sf_dir, source), source)
+
+
+def searchable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cards of all sources merged with details, before tagging, and the text that is searched."""
+    return union_sources(*[plans_silver.searchable_postings(*inputs(spark, sf_dir, s), s) for s in SOURCES])
 
 
 def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean postings of all sources."""
-    return union_sources(*[silver(spark, sf_dir, s) for s in SOURCES])
+    return plans_silver.silver_all({s: inputs(spark, sf_dir, s) for s in SOURCES})
 
 
 def search_pages(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:

@@ -1,21 +1,23 @@
-"""Tagging and classification of posting text as native column expressions.
+"""Tagging and classification of posting text as native expressions.
 
 Nothing here calls Python per row. A rule is tested in two steps: a substring test, which runs on the raw
 bytes and rejects almost every text, then a regular expression only where a word boundary matters. The
 expression starts with the literal, so the regex engine can search for it before it looks at the boundary.
+
+Rules become SQL text that Spark parses once; the same tree built from Column objects costs a call to the JVM
+per node. The public functions therefore take SQL expressions, usually just column names.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Mapping
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirelake.functions import rules
-from hirelake.functions.text import SPACE_CLASS, lower_or_empty
+from hirelake.functions.text import SPACE_CLASS
 
 _WORD = r"[\p{L}\p{N}_]"
 _BOUNDARY = rf"(?:(?<={_WORD})(?!{_WORD})|(?<!{_WORD})(?={_WORD}))"
@@ -26,8 +28,14 @@ def word_regex(regex: str) -> str:
     return regex.replace(r"\b", _BOUNDARY).replace(r"\s", SPACE_CLASS)
 
 
-def _any(conditions: Iterable[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)
+def _quoted(text: str) -> str:
+    if "'" in text:
+        raise ValueError(f"a rule must not hold a quote: {text}")
+    return f"r'{text}'"
+
+
+def _lower(text: str) -> str:
+    return f"lower(coalesce({text}, ''))"
 
 
 def _literal(pattern: str) -> str:
@@ -51,64 +59,65 @@ def _bounded_regex(pattern: str) -> str:
     return literal + checks
 
 
-def _mentions_one(text: Column, pattern: str) -> Column:
-    found = text.contains(_literal(pattern))
-    return found & text.rlike(_bounded_regex(pattern)) if r"\b" in pattern else found
+def _mentions_one(text: str, pattern: str) -> str:
+    found = f"contains({text}, {_quoted(_literal(pattern))})"
+    return f"({found} AND {text} RLIKE {_quoted(_bounded_regex(pattern))})" if r"\b" in pattern else found
 
 
-def mentions(text: Column, patterns: Iterable[str]) -> Column:
-    """True where lower-cased ``text`` holds one of the rule patterns (see ``rules``)."""
+def _mentions(text: str, patterns: Iterable[str]) -> str:
     patterns = list(patterns)
     literals = list(dict.fromkeys(_literal(p) for p in patterns))
     # literals that hold no other literal: if none of them occurs, no pattern can match
     gates = [x for x in literals if not any(y != x and y in x for y in literals)]
-    tests = _any(_mentions_one(text, p) for p in patterns)
+    tests = " OR ".join(_mentions_one(text, p) for p in patterns)
     if len(patterns) == 1 or len(gates) == len(literals):
-        return tests
-    return _any(text.contains(x) for x in gates) & tests
+        return f"({tests})"
+    return f"(({' OR '.join(f'contains({text}, {_quoted(x)})' for x in gates)}) AND ({tests}))"
+
+
+def mentions(text: str, patterns: Iterable[str]) -> Column:
+    """True where the lower-cased ``text`` holds one of the rule patterns (see ``rules``)."""
+    return F.expr(_mentions(text, patterns))
 
 
-def _tags(lowered: Column, tags: Mapping[str, Iterable[str]]) -> Column:
-    hits = [F.when(mentions(lowered, tags[name]), F.lit(name)).otherwise(F.lit("")) for name in sorted(tags)]
-    return F.array_remove(F.array(*hits), "")
+def _tags(lowered: str, tags: Mapping[str, Iterable[str]]) -> Column:
+    hits = [f"if({_mentions(lowered, tags[name])}, {_quoted(name)}, '')" for name in sorted(tags)]
+    return F.expr(f"array_remove(array({', '.join(hits)}), '')")
 
 
-def _first_label(value: Column, groups: Mapping[str, Iterable[str]], chain: Column | None) -> Column:
-    for label, patterns in groups.items():
-        condition = mentions(value, patterns)
-        chain = F.when(condition, label) if chain is None else chain.when(condition, label)
-    return chain
+def _branches(value: str, groups: Mapping[str, Iterable[str]]) -> str:
+    return " ".join(f"WHEN {_mentions(value, patterns)} THEN '{label}'" for label, patterns in groups.items())
 
 
-def _remote(location: Column, head: Column) -> Column:
-    chain = _first_label(location, rules.REMOTE_PATTERNS, None)
-    return _first_label(head, rules.REMOTE_PATTERNS, chain).otherwise(rules.UNKNOWN)
+def _remote(location: str, head: str) -> Column:
+    tests = [_branches(v, rules.REMOTE_PATTERNS) for v in (location, head)]
+    return F.expr(f"CASE {' '.join(tests)} ELSE '{rules.UNKNOWN}' END")
 
 
-def _seniority(title: Column, head: Column, years: Column) -> Column:
-    chain = _first_label(title, rules.SENIORITY_PATTERNS, None)
-    chain = _first_label(head, rules.SENIORITY_PATTERNS, chain)
+def _seniority(title: str, head: str, years: str) -> Column:
+    tests = [_branches(v, rules.SENIORITY_PATTERNS) for v in (title, head)]
     # every experience rule needs one of the unit words, so most texts end here without a regular expression
-    chain = chain.when(~_any(years.contains(unit) for unit in rules.EXPERIENCE_UNITS), rules.UNKNOWN)
+    units = " OR ".join(f"contains({years}, '{unit}')" for unit in rules.EXPERIENCE_UNITS)
+    tests.append(f"WHEN NOT ({units}) THEN '{rules.UNKNOWN}'")
     for label, regex in rules.EXPERIENCE_REGEXES:
-        chain = chain.when(years.rlike(word_regex(regex)), label)
-    return chain.otherwise(rules.UNKNOWN)
+        tests.append(f"WHEN {years} RLIKE {_quoted(word_regex(regex))} THEN '{label}'")
+    return F.expr(f"CASE {' '.join(tests)} ELSE '{rules.UNKNOWN}' END")
 
 
-def _head(lowered: Column, chars: int = rules.HEAD_CHARS) -> Column:
-    return F.substring(lowered, 1, chars)
+def _head(lowered: str, chars: int = rules.HEAD_CHARS) -> str:
+    return f"substring({lowered}, 1, {chars})"
 
 
-def _years_window(experience: Column, head: Column) -> Column:
-    return F.concat(lower_or_empty(experience), F.lit(" "), _head(head, rules.EXPERIENCE_HEAD_CHARS))
+def _years_window(experience: str, head: str) -> str:
+    return f"concat({_lower(experience)}, ' ', {_head(head, rules.EXPERIENCE_HEAD_CHARS)})"
 
 
-def tag_skills(text: Column, tags: Mapping[str, Iterable[str]] = rules.TAG_PATTERNS) -> Column:
+def tag_skills(text: str, tags: Mapping[str, Iterable[str]] = rules.TAG_PATTERNS) -> Column:
     """Sorted array of the tags whose patterns occur anywhere in the text; empty for null or blank text.
 
     The tag names are sorted here, once, so no row has to sort or deduplicate its result.
     """
-    return _tags(lower_or_empty(text), tags)
+    return _tags(_lower(text), tags)
 
 
 def sort_skill_list(skills: Column) -> Column:
@@ -121,24 +130,24 @@ def skills_csv(skills: Column) -> Column:
     return F.concat_ws(",", skills)
 
 
-def classify_remote(location: Column, text: Column) -> Column:
+def classify_remote(location: str, text: str) -> Column:
     """Work format from the location, else from the head of the text, else 'unknown'."""
-    return _remote(lower_or_empty(location), _head(lower_or_empty(text)))
+    return _remote(_lower(location), _head(_lower(text)))
 
 
-def classify_seniority(title: Column, experience: Column, text: Column) -> Column:
+def classify_seniority(title: str, experience: str, text: str) -> Column:
     """Seniority from the title, else the head of the text, else years of experience, else 'unknown'."""
-    head = _head(lower_or_empty(text))
-    return _seniority(lower_or_empty(title), head, _years_window(experience, head))
+    head = _head(_lower(text))
+    return _seniority(_lower(title), head, _years_window(experience, head))
 
 
 def with_classification(
     df: DataFrame,
     *,
-    title: Column,
-    location: Column,
-    experience: Column,
-    text: Column,
+    title: str = "title",
+    location: str = "location",
+    experience: str = "experience_text",
+    text: str = "text_blob",
     tags: Mapping[str, Iterable[str]] = rules.TAG_PATTERNS,
 ) -> DataFrame:
     """Add ``skills_array``, ``remote_type`` and ``seniority``, lower-casing each text once per row.
@@ -148,16 +157,16 @@ def with_classification(
     """
     lowered = df.select(
         "*",
-        lower_or_empty(text).alias("_text"),
-        lower_or_empty(title).alias("_title"),
-        lower_or_empty(location).alias("_location"),
-        experience.alias("_experience"),
+        F.expr(_lower(text)).alias("_text"),
+        F.expr(_lower(title)).alias("_title"),
+        F.expr(_lower(location)).alias("_location"),
+        F.expr(experience).alias("_experience"),
     )
-    headed = lowered.withColumn("_head", _head(F.col("_text")))
-    headed = headed.withColumn("_years", _years_window(F.col("_experience"), F.col("_head")))
+    headed = lowered.select("*", F.expr(_head("_text")).alias("_head"))
+    headed = headed.select("*", F.expr(_years_window("_experience", "_head")).alias("_years"))
     return headed.select(
         *df.columns,
-        _tags(F.col("_text"), tags).alias("skills_array"),
-        _remote(F.col("_location"), F.col("_head")).alias("remote_type"),
-        _seniority(F.col("_title"), F.col("_head"), F.col("_years")).alias("seniority"),
+        _tags("_text", tags).alias("skills_array"),
+        _remote("_location", "_head").alias("remote_type"),
+        _seniority("_title", "_head", "_years").alias("seniority"),
     )

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelake.functions.classify import skills_csv, with_classification
 from hirelake.operators.dedup import dedup_any_by_key
-from hirelake.operators.joins import join_details_left
+from hirelake.operators.joins import join_details_left, union_sources
 from hirelake.operators.project import (
     BLOB_COLUMNS,
     build_text_blob,
@@ -25,6 +26,7 @@ from hirelake.operators.project import (
     project_details,
 )
 from hirelake.params import RunParams
+from hirelake.schemas import CLEAN_COLUMNS
 from hirelake.sources.lake import has_rows, read_cards, read_details
 from hirelake.sources.tables import scan_clean, silver_path, write_silver_parquet
 from hirelake.sources.warehouse import write_jdbc_replace
@@ -79,17 +81,28 @@ def joined_postings(cards: DataFrame, details: DataFrame | None, source: str) ->
     return merged if source == "workua" else merged.withColumn("experience_text", null_text())
 
 
+_UNTAGGED = [c for c in CLEAN_COLUMNS if c not in ("remote_type", "seniority", "skills")]
+
+
+def searchable_postings(cards: DataFrame, details: DataFrame | None, source: str) -> DataFrame:
+    """Merged postings with ``text_blob``, the text that the rules search; same columns for every source."""
+    blob = build_text_blob(BLOB_COLUMNS[source]).alias("text_blob")
+    return joined_postings(cards, details, source).select(*_UNTAGGED, "experience_text", blob)
+
+
+def tagged(postings: DataFrame) -> DataFrame:
+    """Searchable postings → the 19 clean columns, all expressions native."""
+    return final_projection(with_classification(postings).withColumn("skills", skills_csv(F.col("skills_array"))))
+
+
 def silver(cards: DataFrame, details: DataFrame | None, source: str) -> DataFrame:
-    """The 19-column clean postings of one source, all expressions native."""
-    text = joined_postings(cards, details, source).withColumn("text_blob", build_text_blob(BLOB_COLUMNS[source]))
-    tagged = with_classification(
-        text,
-        title=F.col("title"),
-        location=F.col("location"),
-        experience=F.col("experience_text"),
-        text=F.col("text_blob"),
-    )
-    return final_projection(tagged.withColumn("skills", skills_csv(F.col("skills_array"))))
+    """The clean postings of one source."""
+    return tagged(searchable_postings(cards, details, source))
+
+
+def silver_all(inputs: Mapping[str, tuple[DataFrame, DataFrame | None]]) -> DataFrame:
+    """The clean postings of several sources; tagging follows the union, so its code is generated once."""
+    return tagged(union_sources(*[searchable_postings(c, d, source) for source, (c, d) in inputs.items()]))
 
 
 def run_silver(spark: SparkSession, params: RunParams, source: str) -> DataFrame | None:
