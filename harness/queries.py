@@ -646,6 +646,37 @@ def q_page_title(spark, sf_dir):
     )
 
 
+# Tags balance by name: a </p> closes the latest open <p>, </article> closes whatever is open inside it.
+_PARAGRAPH_CTES = [
+    r"""bare AS (SELECT page_id, html, regexp_replace(html, '(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->', '<x>', 'g') AS h
+  FROM pages)""",
+    r"""tok AS (SELECT page_id, unnest(k) AS t, generate_subscripts(k, 1) AS i
+  FROM (SELECT page_id, regexp_extract_all(h, '<[^>]*>|(?:[^<]|<[^>]*\z)+') AS k FROM bare))""",
+    f"""b AS (SELECT page_id, i, t, {o.clean_space(_decoded("t"))} AS piece, sum(CASE WHEN regexp_matches(t, '^<p[ >]') THEN 1
+    WHEN t = '</p>' THEN -1 ELSE 0 END) OVER (PARTITION BY page_id ORDER BY i) AS depth FROM tok)""",
+    """spans AS (SELECT s.page_id, s.i, (SELECT min(e.i) FROM b e WHERE e.page_id = s.page_id AND e.i > s.i AND (e.t = '</article>'
+      OR CASE WHEN regexp_matches(s.t, '^<li') THEN e.t = '</li>' ELSE e.t = '</p>' AND e.depth = s.depth - 1 END)) AS j
+  FROM b s WHERE regexp_matches(s.t, '^<(p|li)[ >]'))""",
+    """para AS (SELECT s.page_id, s.i, string_agg(b.piece, ' ' ORDER BY b.i) AS text FROM spans s JOIN b ON b.page_id = s.page_id
+    AND b.i > s.i AND b.i < coalesce(s.j, 1000000000) AND NOT regexp_matches(b.t, '^<[^>]*>$') AND b.piece <> '' GROUP BY ALL)""",
+    "long AS (SELECT page_id, string_agg(text, ' ' ORDER BY i) AS text FROM para WHERE length(text) > 40 GROUP BY page_id)",
+]
+
+
+@query(
+    o.sql(
+        _PARAGRAPH_CTES,
+        f"""SELECT p.page_id, coalesce(l.text, substr({o.page_text_sql('p.html')}, 1, 5000)) AS description
+FROM pages p LEFT JOIN long l ON p.page_id = l.page_id""",
+    )
+)
+def q_description_fallback(spark, sf_dir):
+    pages = spread_small(table(spark, sf_dir, "pages").select("page_id", "html"))
+    found = extract.extract_fields(pages, {"paragraphs": extract.PARAGRAPHS})
+    text = extract.description_fallback(F.col("paragraphs"), html_to_text(F.col("html")))
+    return found.select("page_id", text.alias("description"))
+
+
 _META_SQL = {
     name: o.clean_space(f"regexp_extract(page_text, {o._quote('(?i)' + regex)}, 1)")
     for name, regex in extract.META_REGEXES.items()
