@@ -43,12 +43,10 @@ def query(oracle: str | None = None) -> Callable[[Query], Query]:
 
 
 def _all_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cards of every source in the common shape, with the id that its source's rule gives."""
-    parts = []
-    for s in rules.SOURCES:
-        cards = views.source_cards(spark, sf_dir, s)
-        ids = {"workua": urls.job_id_workua, "dou": urls.job_id_dou, "ithub": urls.job_id_ithub}
-        parts.append(cards.withColumn("job_id", ids[s](F.col("job_url"))))
+    """Cards of every source, with the id that its source's rule gives."""
+    docs = views.documents(spark, sf_dir)
+    ids = {"workua": urls.job_id_workua, "dou": urls.job_id_dou, "ithub": urls.job_id_ithub}
+    parts = [views.cards_of(docs, s).withColumn("job_id", ids[s](F.col("job_url"))) for s in rules.SOURCES]
     return joins.union_sources(*parts)
 
 
@@ -186,7 +184,7 @@ def q_make_uid(spark, sf_dir):
 
 @query(f"SELECT doc_id, md5({o.clean_space('text')}) AS clean_md5, length({o.clean_space('text')}) AS clean_chars FROM documents")
 def q_clean_text(spark, sf_dir):
-    rows = spread_small(views.documents(spark, sf_dir)).select("doc_id", collapse_space(F.col("text")).alias("t"))
+    rows = views.documents(spark, sf_dir).select("doc_id", collapse_space(F.col("text")).alias("t"))
     return rows.select("doc_id", F.md5("t").alias("clean_md5"), F.length("t").cast("long").alias("clean_chars"))
 
 
@@ -237,7 +235,7 @@ ON c_custkey = o_custkey"""
 )
 def q_join_orders_left(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_orderdate", "o_totalprice")
-    newest = [F.col("o_orderdate").desc_nulls_last(), F.col("o_orderkey").desc_nulls_last()]
+    newest = ["o_orderdate DESC NULLS LAST", "o_orderkey DESC NULLS LAST"]
     latest = dedup.first_rank(orders, ["c_custkey"], newest).drop("o_orderdate")
     return joins.join_details_left(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), latest, "c_custkey")
 
@@ -260,7 +258,7 @@ def q_lookup_url(spark, sf_dir):
     job_id = F.concat(F.lit("companies_c-"), number, F.lit("_vacancies_"), number)
     pages = table(spark, sf_dir, "pages").select("page_id", job_id.alias("job_id"), "url")
     cards = views.source_cards(spark, sf_dir, "dou").select("job_url", "page", "doc_id")
-    last = [F.col("page").desc_nulls_last(), F.col("doc_id").desc_nulls_last()]
+    last = ["page DESC NULLS LAST", "doc_id DESC NULLS LAST"]
     return joins.lookup_url_by_job_id(pages, cards, urls.job_id_dou(F.col("job_url")), last)
 
 
@@ -327,7 +325,7 @@ def q_latest_per_uid(spark, sf_dir):
 )
 def q_latest_event_per_user(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "ts")
-    newest = [F.col("ts").desc_nulls_last(), F.col("event_id").desc_nulls_last()]
+    newest = ["ts DESC NULLS LAST", "event_id DESC NULLS LAST"]
     latest = dedup.first_rank(events, ["user_id"], newest)
     return latest.select("user_id", "event_id", "event_type", F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"))
 
@@ -691,7 +689,7 @@ def _detail_pages_cte(s: str) -> str:
 @query(o.sql([_detail_pages_cte("workua")], "SELECT doc_id, " + ", ".join(f"{v} AS {k}" for k, v in _META_SQL.items()) + " FROM g"))
 def q_meta_regex(spark, sf_dir):
     html = F.expr(views.DETAIL_HTML["workua"])
-    pages = spread_small(views.documents(spark, sf_dir)).select("doc_id", html_to_text(html).alias("page_text"))
+    pages = views.documents(spark, sf_dir).select("doc_id", html_to_text(html).alias("page_text"))
     return pages.select("doc_id", *[v.alias(k) for k, v in extract.meta_regex_fields(F.col("page_text")).items()])
 
 
@@ -759,7 +757,7 @@ def _description_sql(min_chars: int, shorter: str) -> str:
     )
 )
 def q_detail_a_roundtrip(spark, sf_dir):
-    pages = spread_small(views.detail_pages(spark, sf_dir, "dou")).withColumn("job_id", urls.job_id_from_filename(F.col("path")))
+    pages = views.detail_pages(spark, sf_dir, "dou").withColumn("job_id", urls.job_id_from_filename(F.col("path")))
     details = extract.extract_detail_dou(pages.withColumn("job_url", F.lit("")))
     columns = ["job_id", "title", "company", "location", "published_text", "description_full"]
     return details.select(*columns, F.md5("page_text").alias("page_md5"))
@@ -779,7 +777,7 @@ def q_detail_a_roundtrip(spark, sf_dir):
     )
 )
 def q_detail_b_roundtrip(spark, sf_dir):
-    pages = spread_small(views.detail_pages(spark, sf_dir, "workua")).withColumn("job_id", urls.job_id_from_filename(F.col("path")))
+    pages = views.detail_pages(spark, sf_dir, "workua").withColumn("job_id", urls.job_id_from_filename(F.col("path")))
     details = plans_details.parse_details_workua(pages)
     columns = [
         "job_id", "job_url", "title", "company", "location", "published_text", "employment_type", "experience_text",

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from hirelake.functions.rules import SOURCES
 from hirelake.operators.joins import union_sources
 from hirelake.plans import silver as plans_silver
+from hirelake.session import spread_small
 
 _N = "(doc_id - doc_id % 3)"
 _NS = f"CAST({_N} AS VARCHAR(20))"
@@ -157,41 +158,54 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def select(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    return df.select(*[F.expr(sql).alias(name) for name, sql in columns.items()])
+    return df.selectExpr(*[f"{sql} AS {name}" for name, sql in columns.items()])
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spread_small(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def cards_of(docs: DataFrame, source: str) -> DataFrame:
+    rows = select(docs, {"doc_id": "doc_id", **cards_sql(source)})
+    skills = F.expr("IF(skills_list IS NOT NULL, split(skills_list, ','), NULL)")
+    return rows.withColumn("skills_raw", skills).drop("skills_list")
+
+
+def details_of(docs: DataFrame, source: str) -> DataFrame:
+    return select(docs, {"doc_id": "doc_id", **details_sql(source)})
 
 
 def source_cards(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
     """Cards of one source, one per document, with every column that some source has."""
-    rows = select(documents(spark, sf_dir), {"doc_id": "doc_id", **cards_sql(source)})
-    skills = F.when(F.col("skills_list").isNotNull(), F.split("skills_list", ","))
-    return rows.withColumn("skills_raw", skills).drop("skills_list")
+    return cards_of(documents(spark, sf_dir), source)
 
 
 def source_details(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
-    return select(documents(spark, sf_dir), {"doc_id": "doc_id", **details_sql(source)})
+    return details_of(documents(spark, sf_dir), source)
+
+
+Inputs = dict[str, tuple[DataFrame, DataFrame | None]]
 
 
-def inputs(spark: SparkSession, sf_dir: str, source: str) -> tuple[DataFrame, DataFrame | None]:
-    details = None if source == "ithub" else source_details(spark, sf_dir, source)
-    return source_cards(spark, sf_dir, source), details
+def inputs(spark: SparkSession, sf_dir: str) -> Inputs:
+    """Cards and details of every source."""
+    docs = documents(spark, sf_dir)
+    return {s: (cards_of(docs, s), None if s == "ithub" else details_of(docs, s)) for s in SOURCES}
 
 
 def silver(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
-    return plans_silver.silver(*inputs(spark, sf_dir, source), source)
+    return plans_silver.silver(*inputs(spark, sf_dir)[source], source)
 
 
 def searchable(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cards of all sources merged with details, before tagging, and the text that is searched."""
-    return union_sources(*[plans_silver.searchable_postings(*inputs(spark, sf_dir, s), s) for s in SOURCES])
+    found = inputs(spark, sf_dir)
+    return union_sources(*[plans_silver.searchable_postings(*found[s], s) for s in SOURCES])
 
 
 def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean postings of all sources."""
-    return plans_silver.silver_all({s: inputs(spark, sf_dir, s) for s in SOURCES})
+    return plans_silver.silver_all(inputs(spark, sf_dir))
 
 
 def search_pages(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:

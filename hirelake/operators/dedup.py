@@ -9,36 +9,34 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirelake.functions import rules
 from hirelake.functions.text import is_blank, normalize_name
 
 
-def first_rank(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """The first row of every key under ``order``."""
-    ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    return ranked.where(F.col("_rank") == 1).drop("_rank")
+def first_rank(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The first row of every key under ``order``, a list of SQL sort terms such as ``"dt DESC NULLS LAST"``."""
+    rank = f"row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY {', '.join(order)})"
+    return df.withColumn("_rank", F.expr(rank)).where("_rank = 1").drop("_rank")
 
 
 def dedup_any_by_key(df: DataFrame, key: str) -> DataFrame:
     """One row per key where any will do: the latest fetched, ties settled by the remaining columns in order."""
-    latest = [F.col("fetched_at").desc_nulls_last()] if "fetched_at" in df.columns else []
-    rest = [F.col(c).asc_nulls_last() for c in df.columns if c not in (key, "fetched_at")]
-    return first_rank(df, [key], latest + rest)
+    columns = df.columns
+    latest = ["fetched_at DESC NULLS LAST"] if "fetched_at" in columns else []
+    return first_rank(df, [key], latest + [f"{c} ASC NULLS LAST" for c in columns if c not in (key, "fetched_at")])
 
 
-def dedup_first_seen(df: DataFrame, key: str, crawl_order: Sequence[str | Column]) -> DataFrame:
-    """The first row of every key in crawl order."""
-    order = [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in crawl_order]
-    return first_rank(df, [key], order)
+def dedup_first_seen(df: DataFrame, key: str, crawl_order: Sequence[str]) -> DataFrame:
+    """The first row of every key in crawl order, given as columns."""
+    return first_rank(df, [key], [f"{c} ASC NULLS LAST" for c in crawl_order])
 
 
 def latest_per_uid(df: DataFrame) -> DataFrame:
     """The newest version of every posting."""
-    newest = [F.col(c).desc_nulls_last() for c in ("fetched_at", "dt", "job_url")]
-    return first_rank(df, ["source_job_uid"], newest)
+    return first_rank(df, ["source_job_uid"], [f"{c} DESC NULLS LAST" for c in ("fetched_at", "dt", "job_url")])
 
 
 def quality_features(df: DataFrame) -> DataFrame:
@@ -67,12 +65,12 @@ def best_per_cross_source_key(postings: DataFrame) -> DataFrame:
         cross_source_key(F.col("company"), F.col("title"), F.col("seniority")).alias("cross_source_job_key"), "*"
     )
     order = [
-        F.col("has_skills").desc(),
-        F.col("description_len").desc(),
-        F.col("source_priority").asc(),
-        F.col("fetched_at").desc_nulls_last(),
-        F.col("dt").desc_nulls_last(),
-        F.col("source_job_uid").desc_nulls_first(),
+        "has_skills DESC",
+        "description_len DESC",
+        "source_priority ASC",
+        "fetched_at DESC NULLS LAST",
+        "dt DESC NULLS LAST",
+        "source_job_uid DESC NULLS FIRST",
     ]
     best = first_rank(quality_features(keyed), ["cross_source_job_key"], order)
     return best.drop("has_skills", "description_len", "source_priority")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -18,13 +19,13 @@ def join_details_left(cards: DataFrame, details: DataFrame, key: str) -> DataFra
     return cards.join(details, on=key, how="left")
 
 
-def lookup_url_by_job_id(pages: DataFrame, cards: DataFrame, job_id: Column, crawl_order: list[Column]) -> DataFrame:
+def lookup_url_by_job_id(pages: DataFrame, cards: DataFrame, job_id: Column, latest_first: Sequence[str]) -> DataFrame:
     """Add ``job_url`` to parsed pages from the cards' URLs; the last card of an id wins, '' without a card.
 
-    ``job_id`` derives the id from the card's ``job_url``.
+    ``job_id`` derives the id from the card's ``job_url``; ``latest_first`` sorts the cards, in SQL sort terms.
     """
     known = cards.where(F.coalesce(F.col("job_url"), F.lit("")) != "").withColumn("_id", job_id)
-    last = first_rank(known, ["_id"], crawl_order).select(F.col("_id").alias("job_id"), F.col("job_url").alias("_url"))
+    last = first_rank(known, ["_id"], latest_first).select(F.col("_id").alias("job_id"), F.col("job_url").alias("_url"))
     joined = pages.drop("job_url").join(last, on="job_id", how="left")
     return joined.withColumn("job_url", F.coalesce(F.col("_url"), F.lit(""))).drop("_url")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,36 +47,33 @@ def null_text() -> Column:
     return F.lit(None).cast("string")
 
 
-def _text(df: DataFrame, name: str) -> Column:
-    return (F.col(name).cast("string") if name in df.columns else null_text()).alias(name)
+def _text(present: Collection[str], name: str, source: str | None = None) -> str:
+    source = name if source is None else source
+    return f"CAST({source if source in present else 'NULL'} AS STRING) AS {name}"
 
 
 def project_cards(cards: DataFrame, source: str) -> DataFrame:
     """Cards of one source in the common shape; what a source does not have becomes a typed null."""
-    base = [_text(cards, c) for c in CARD_TEXT]
+    present = set(cards.columns)
     if source == "workua":
-        return cards.select(job_id_workua(F.col("job_url")).alias("job_id"), *base)
+        job_id = job_id_workua(F.col("job_url")).alias("job_id")
+        return cards.select(job_id, *[F.expr(_text(present, c)) for c in CARD_TEXT])
     if source == "dou":
-        nulls = {"query_name", "query_text"}
-        return cards.select(*[null_text().alias(c) if c in nulls else _text(cards, c) for c in CARD_TEXT])
-    replaced = {"location": null_text(), "snippet": F.col("meta_text").cast("string")}
-    return cards.select(
-        job_id_ithub(F.col("job_url")).alias("job_id"),
-        *[replaced[c].alias(c) if c in replaced else _text(cards, c) for c in CARD_TEXT],
-        _text(cards, "description_full"),
-        F.col("skills_raw"),
-    )
+        return cards.selectExpr(*[_text(present - {"query_name", "query_text"}, c) for c in CARD_TEXT])
+    columns = {"location": None, "snippet": "meta_text"}
+    texts = [_text(present - {"location"}, c, columns.get(c)) for c in [*CARD_TEXT, "description_full"]]
+    return cards.select(job_id_ithub(F.col("job_url")).alias("job_id"), *[F.expr(t) for t in texts], F.col("skills_raw"))
 
 
 def project_details(details: DataFrame, source: str) -> DataFrame:
-    """Details of one source; columns that cards have too get the prefix ``detail_``."""
-    url = F.nullif(F.col("job_url").cast("string"), F.lit("")) if source == "dou" else F.col("job_url").cast("string")
-    return details.select(
-        F.col("job_id").cast("string").alias("job_id"),
-        url.alias("job_url"),
-        *[F.col(old).cast("string").alias(new) for old, new in DETAIL_RENAMES.items()],
-        *[_text(details, c) for c in DETAIL_TEXT[source]],
-    )
+    """Details of one source; columns that cards have too get the prefix ``detail_``.
+
+    On the board that joins by URL a blank URL is no key.
+    """
+    present = set(details.columns)
+    url = "nullif(CAST(job_url AS STRING), '') AS job_url" if source == "dou" else _text(present, "job_url")
+    renamed = [_text(present, new, old) for old, new in DETAIL_RENAMES.items()]
+    return details.selectExpr(_text(present, "job_id"), url, *renamed, *[_text(present, c) for c in DETAIL_TEXT[source]])
 
 
 def filter_key_not_null(df: DataFrame, key: str) -> DataFrame:
@@ -104,7 +101,7 @@ def coalesce_nonblank(*values: Column) -> Column:
 
 def build_text_blob(columns: Sequence[str]) -> Column:
     """Columns joined by single spaces; a null column leaves its separator in place."""
-    return F.concat_ws(" ", *[F.coalesce(F.col(c), F.lit("")) for c in columns])
+    return F.expr("concat_ws(' ', " + ", ".join(f"coalesce({c}, '')" for c in columns) + ")")
 
 
 def flatten_raw_skills(skills: Column) -> Column:
@@ -117,4 +114,4 @@ def make_uid(source: Column, default_source: str, *identities: Column) -> Column
 
 
 def final_projection(df: DataFrame, columns: Sequence[str] = CLEAN_COLUMNS) -> DataFrame:
-    return df.select(*[F.col(c).cast("string").alias(c) for c in columns])
+    return df.selectExpr(*[f"CAST({c} AS STRING) AS {c}" for c in columns])

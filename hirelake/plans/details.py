@@ -23,8 +23,9 @@ def parse_details_dou(pages: DataFrame, cards: DataFrame) -> DataFrame:
     The lookup follows the extraction, so pages meet the cards without their HTML.
     """
     details = extract_detail_dou(pages.withColumn("job_url", F.lit("")))
-    latest_page_first = [F.col("page").desc_nulls_last(), F.col("job_url").desc_nulls_last()]
-    found = lookup_url_by_job_id(details, cards, job_id_dou(F.col("job_url")), latest_page_first)
+    order = [c for c in ("page", "position", "job_url") if c in cards.columns]
+    latest_first = [f"{c} DESC NULLS LAST" for c in order]
+    found = lookup_url_by_job_id(details, cards, job_id_dou(F.col("job_url")), latest_first)
     return found.select(*details.columns)
 
 

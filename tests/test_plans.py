@@ -46,8 +46,9 @@ def test_marts_read_only_their_columns(spark, sf_dir, tmp_path):
 
 
 def test_union_order_and_partitions_do_not_matter(spark, sf_dir):
-    forward = silver_all({s: views.inputs(spark, sf_dir, s) for s in rules.SOURCES})
-    backward = silver_all({s: views.inputs(spark, sf_dir, s) for s in reversed(rules.SOURCES)})
+    inputs = views.inputs(spark, sf_dir)
+    forward = silver_all(inputs)
+    backward = silver_all({s: inputs[s] for s in reversed(rules.SOURCES)})
     a, b = gold.deduped(forward), gold.deduped(backward.repartition(7))
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     assert gold.deduped(a.select(*CLEAN_COLUMNS)).exceptAll(a).count() == 0
