@@ -677,7 +677,7 @@ def q_description_fallback(spark, sf_dir):
 
 _META_SQL = {
     name: o.clean_space(f"regexp_extract(page_text, {o._quote('(?i)' + regex)}, 1)")
-    for name, regex in extract.META_REGEXES.items()
+    for name, (regex, _) in extract.META_FACTS.items()
 }
 
 
@@ -750,7 +750,7 @@ def _description_sql(min_chars: int, shorter: str) -> str:
         [_detail_pages_cte("dou")],
         f"""SELECT id AS job_id, title, CASE WHEN doc_id % 2 = 0 THEN 'Co & Sons' ELSE 'Link Co' END AS company,
   CASE WHEN doc_id % 3 = 0 THEN 'Kyiv'
-       ELSE {o.clean_space(f"regexp_extract(substr(page_text, 1, 1000), {o._quote('(?i)' + extract.DOU_LOCATION_REGEX)}, 1)")}
+       ELSE {o.clean_space(f"regexp_extract(substr(page_text, 1, 1000), {o._quote('(?i)' + '(' + '|'.join(extract.DOU_PLACES) + ')')}, 1)")}
   END AS location,
   published AS published_text, {_description_sql(400, f"CASE WHEN length({o.clean_space('text')}) > 40 THEN {o.clean_space('text')} ELSE substr(page_text, 1, 5000) END")} AS description_full,
   md5(page_text) AS page_md5 FROM g""",
@@ -769,7 +769,7 @@ def q_detail_a_roundtrip(spark, sf_dir):
         f"""SELECT id AS job_id, concat('https://www.work.ua/jobs/', id, '/') AS job_url, title,
   CASE WHEN doc_id % 2 = 0 THEN 'Co & Sons' ELSE 'Fallback Co' END AS company,
   CASE WHEN {_META_SQL['location']} <> '' THEN {_META_SQL['location']}
-       ELSE {o.clean_space(f"regexp_extract(page_text, {o._quote('(?i)' + extract.WORKUA_LOCATION_REGEX)}, 1)")} END AS location,
+       ELSE {o.clean_space(f"regexp_extract(page_text, {o._quote('(?i)' + '(' + '|'.join(extract.WORKUA_PLACES) + ')')}, 1)")} END AS location,
   concat('Вакансія від ', published) AS published_text, {_META_SQL['employment_type']} AS employment_type,
   {_META_SQL['experience_text']} AS experience_text, {_META_SQL['education_text']} AS education_text,
   {_description_sql(300, f"CASE WHEN length({o.clean_space('text')}) > 40 THEN {o.clean_space('text')} ELSE substr(page_text, 1, 5000) END")} AS description_full,
@@ -822,7 +822,7 @@ def q_json_roundtrip(spark, sf_dir):
         parts.append(cards.withColumn("skills", skills).select(
             F.lit("card").alias("kind"), "source", "job_url", "title", "company", "dt", "page", "skills"))
     for s in ("workua", "dou"):
-        lake.write_parsed_pages(views.source_details(spark, sf_dir, s).drop("doc_id"), root)
+        lake.write_parsed_pages(views.source_details(spark, sf_dir, s).drop("doc_id"), root, s)
         details = lake.read_parsed_pages(spark, root, s)
         parts.append(details.select(
             F.lit("detail").alias("kind"), "source", "job_url", "title", "company", "dt",

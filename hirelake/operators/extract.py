@@ -8,7 +8,7 @@ skip) is a native expression on top.
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass
 from functools import reduce
 
@@ -209,11 +209,15 @@ def extract_cards_ithub(pages: DataFrame, base_url: str = BASE_URLS["ithub"]) ->
 PARAGRAPHS = element("p, li", every=True)
 
 
+def _or_else(value: Column, other: Column) -> Column:
+    """``value`` unless it is null or '', else ``other``, which is evaluated only then."""
+    return F.coalesce(F.nullif(value, F.lit("")), other)
+
+
 def description_fallback(paragraphs: Column, page_text: Column) -> Column:
     """All longer paragraphs and list items, else the head of the page text."""
     long_ones = F.filter(paragraphs, lambda x: F.length(x) > MIN_PARAGRAPH_CHARS)
-    joined = F.array_join(long_ones, " ")
-    return F.when(joined != "", joined).otherwise(F.substring(page_text, 1, DESCRIPTION_FALLBACK_CHARS))
+    return _or_else(F.array_join(long_ones, " "), F.substring(page_text, 1, DESCRIPTION_FALLBACK_CHARS))
 
 
 def first_longer_than(candidates: Column, chars: int) -> Column:
@@ -230,31 +234,46 @@ def _description(source: str) -> Column:
     return F.coalesce(found, description_fallback(F.col("paragraphs"), F.col("page_text")))
 
 
-# Patterns of facts in the page text of a posting, matched without regard to case.
-META_REGEXES = {
-    "employment_type": r"(Повна зайнятість|Неповна зайнятість|Стажування|Часткова зайнятість)",
-    "experience_text": r"(Досвід роботи від\s+\d+\s+рок(?:ів|и|у))",
-    "education_text": r"(Вища освіта|Незакінчена вища освіта|Середня спеціальна освіта)",
-    "location": r"(Дистанційна робота|Віддалена робота|Гібридний формат роботи)",
+# Facts stated in the page text of a posting, matched without regard to case. Each entry is a regular
+# expression and the words of which it needs at least one.
+META_FACTS = {
+    "employment_type": (
+        r"(Повна зайнятість|Неповна зайнятість|Стажування|Часткова зайнятість)", ("зайнятість", "Стажування"),
+    ),
+    "experience_text": (r"(Досвід роботи від\s+\d+\s+рок(?:ів|и|у))", ("Досвід роботи від",)),
+    "education_text": (r"(Вища освіта|Незакінчена вища освіта|Середня спеціальна освіта)", ("освіта",)),
+    "location": (
+        r"(Дистанційна робота|Віддалена робота|Гібридний формат роботи)",
+        ("Дистанційна робота", "Віддалена робота", "Гібридний формат роботи"),
+    ),
 }
-WORKUA_LOCATION_REGEX = (
-    r"(Дистанційна робота|Віддалена робота|Гібридний формат роботи|Київ|Львів|Дніпро|Одеса|Харків"
-    r"|Івано-Франківськ|Вся Україна|за кордоном)"
+WORKUA_PLACES = (
+    "Дистанційна робота", "Віддалена робота", "Гібридний формат роботи", "Київ", "Львів", "Дніпро", "Одеса", "Харків",
+    "Івано-Франківськ", "Вся Україна", "за кордоном",
 )
-WORKUA_DATE_REGEX = r"(Вакансія від\s+\d{1,2}\s+[A-Za-zА-Яа-яІіЇїЄєҐґ]+\s+\d{4})"
-DOU_LOCATION_REGEX = r"(віддалено|за кордоном|Київ|Львів|Дніпро|Одеса|Харків|Івано-Франківськ)"
+DOU_PLACES = ("віддалено", "за кордоном", "Київ", "Львів", "Дніпро", "Одеса", "Харків", "Івано-Франківськ")
+WORKUA_DATE = (r"(Вакансія від\s+\d{1,2}\s+[A-Za-zА-Яа-яІіЇїЄєҐґ]+\s+\d{4})", ("Вакансія від",))
 DOU_DATE_REGEX = r"(\d{1,2}\s+[а-яіїєґA-Za-z]+\s+\d{4})"
 DOU_COMPANY_SUFFIX = "Всі вакансії компанії"
 
 
-def _search(text: Column, regex: str, flags: str = "(?iuU)") -> Column:
-    """First match in any case, white space collapsed; '' without one."""
-    return collapse_space(F.regexp_extract(text, flags + regex, 1))
+def _search(text: Column, regex: str, words: Sequence[str]) -> Column:
+    """First match in any case, white space collapsed; '' without one.
+
+    The text is searched for the words first, on its bytes; the case-blind expression runs only where one occurs.
+    """
+    lowered = F.lower(text)
+    possible = reduce(lambda a, b: a | b, [lowered.contains(w.lower()) for w in words])
+    return F.when(possible, collapse_space(F.regexp_extract(text, "(?iuU)" + regex, 1))).otherwise("")
+
+
+def _place(text: Column, places: Sequence[str]) -> Column:
+    return _search(text, f"({'|'.join(places)})", places)
 
 
 def meta_regex_fields(page_text: Column) -> dict[str, Column]:
     """Employment type, experience, education and work format stated in a page text; '' where not stated."""
-    return {name: _search(page_text, regex) for name, regex in META_REGEXES.items()}
+    return {name: _search(page_text, *fact) for name, fact in META_FACTS.items()}
 
 
 def extract_detail_workua(pages: DataFrame) -> DataFrame:
@@ -273,15 +292,13 @@ def extract_detail_workua(pages: DataFrame) -> DataFrame:
     }
     found = extract_fields(pages, fields).withColumn("page_text", html_to_text(F.col("html")))
     meta = meta_regex_fields(F.col("page_text"))
-    location = F.when(meta["location"] != "", meta["location"]).otherwise(
-        _search(F.col("page_text"), WORKUA_LOCATION_REGEX)
-    )
+    location = _or_else(meta["location"], _place(F.col("page_text"), WORKUA_PLACES))
     return found.select(
         "job_id", "job_url",
         _first(F.col("title")).alias("title"),
         first_nonempty(F.col("company")).alias("company"),
         location.alias("location"),
-        _search(F.col("page_text"), WORKUA_DATE_REGEX).alias("published_text"),
+        _search(F.col("page_text"), *WORKUA_DATE).alias("published_text"),
         *[meta[c].alias(c) for c in ("employment_type", "experience_text", "education_text")],
         _description("workua").alias("description_full"),
         "page_text",
@@ -311,11 +328,9 @@ def extract_detail_dou(pages: DataFrame) -> DataFrame:
     return found.select(
         "job_id", "job_url",
         _first(F.col("title")).alias("title"),
-        F.when(named != "", named).otherwise(linked).alias("company"),
-        F.when(location != "", location).otherwise(_search(page_head, DOU_LOCATION_REGEX)).alias("location"),
-        F.when(published != "", published)
-        .otherwise(_search(F.col("page_text"), DOU_DATE_REGEX, "(?U)"))
-        .alias("published_text"),
+        _or_else(named, linked).alias("company"),
+        _or_else(location, _place(page_head, DOU_PLACES)).alias("location"),
+        _or_else(published, collapse_space(F.regexp_extract("page_text", "(?U)" + DOU_DATE_REGEX, 1))).alias("published_text"),
         _description("dou").alias("description_full"),
         "page_text",
         F.lit("dou").alias("source"),

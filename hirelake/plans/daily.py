@@ -18,6 +18,7 @@ from hirelake.plans import gold
 from hirelake.plans.silver import run_silver
 from hirelake.session import written_once
 from hirelake.sources.tables import append_run_metrics, scan_clean, silver_path
+from hirelake.sources.warehouse import write_jdbc_append, write_jdbc_replace
 
 
 def run_gold(spark: SparkSession, params: RunParams) -> dict[str, DataFrame]:
@@ -40,7 +41,12 @@ def run_gold(spark: SparkSession, params: RunParams) -> dict[str, DataFrame]:
         require_ok(run_expectations(stored[name], expectations))
     check_non_empty({**{f"{s}_jobs_clean": df for s, df in clean.items()}, "unified postings": unified})
     require_ok(check_ratio_max(unified, params.max_unknown_ratio))
-    append_run_metrics(run_metrics(clean, unified, params.run_date, params.run_name), f"{params.gold}/run_metrics")
+    metrics = written_once(run_metrics(clean, unified, params.run_date, params.run_name), "metrics")
+    append_run_metrics(metrics, f"{params.gold}/run_metrics")
+    if params.jdbc:
+        for name, mart in stored.items():
+            write_jdbc_replace(mart, params.jdbc, name)
+        write_jdbc_append(metrics, params.jdbc, "run_metrics")
     return {**stored, "unified": unified, "deduped": deduped}
 
 

@@ -29,10 +29,13 @@ def parse_details_dou(pages: DataFrame, cards: DataFrame) -> DataFrame:
     return found.select(*details.columns)
 
 
-def run_details(spark: SparkSession, params: RunParams, source: str) -> str:
+def run_details(spark: SparkSession, params: RunParams, source: str) -> None:
+    """Parse a day's raw pages of a source that has posting pages."""
+    if source not in ("workua", "dou"):
+        raise ValueError(f"{source} has no posting pages")
     pages = read_html_pages(spark, params.bronze, source, params.dt)
     if source == "workua":
         details = parse_details_workua(pages)
     else:
         details = parse_details_dou(pages, read_cards(spark, params.bronze, source, params.dt))
-    return write_parsed_pages(details, params.bronze)
+    write_parsed_pages(details, params.bronze, source)

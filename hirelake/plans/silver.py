@@ -29,7 +29,7 @@ from hirelake.params import RunParams
 from hirelake.schemas import CLEAN_COLUMNS
 from hirelake.sources.lake import has_rows, read_cards, read_details
 from hirelake.sources.tables import scan_clean, silver_path, write_silver_parquet
-from hirelake.sources.warehouse import write_jdbc_replace
+from hirelake.sources.warehouse import promote_in_warehouse, write_jdbc_replace
 
 log = logging.getLogger(__name__)
 
@@ -117,5 +117,7 @@ def run_silver(spark: SparkSession, params: RunParams, source: str) -> DataFrame
     # both sinks get the same rows: the warehouse is fed from the stored partition, not from a second computation
     stored = scan_clean(spark, path, params.dt)
     if params.jdbc:
-        write_jdbc_replace(stored, params.jdbc, f"{source}_jobs_clean__staging")
+        final, staging = f"{source}_jobs_clean", f"{source}_jobs_clean__staging"
+        write_jdbc_replace(stored, params.jdbc, staging)
+        promote_in_warehouse(spark, params.jdbc, final, staging)
     return stored

@@ -5,7 +5,8 @@ Layout under the bronze root (``dt`` names the run day)::
     jobs/source=workua/query=<name>/dt=<dt>/parsed/*.json      cards, a JSON list per file
     jobs/source=<dou|ithub>/dt=<dt>/parsed/search_results.json
     jobs/source=<source>/details_raw/dt=<dt>/job_<id>.html
-    jobs/source=<source>/details_parsed/dt=<dt>/*.json         details, one JSON object per file
+    jobs/source=<source>/details_parsed/dt=<dt>/job_*.json     details, one JSON object per file
+    jobs/source=<source>/details_parsed/dt=<dt>/part-*.json    details as written here, one JSON object per line
 
 Unreadable input raises (``PATH_NOT_FOUND`` and the like); it is never taken for an empty day.
 """
@@ -25,29 +26,28 @@ def cards_path(root: str, source: str, dt: str) -> str:
     return f"{root}/jobs/source={source}/dt={dt}/parsed/search_results.json"
 
 
-def details_path(root: str, source: str, dt: str) -> str:
-    return f"{root}/jobs/source={source}/details_parsed/dt={dt}/*.json"
+def details_path(root: str, source: str) -> str:
+    return f"{root}/jobs/source={source}/details_parsed"
 
 
 def raw_details_path(root: str, source: str, dt: str) -> str:
     return f"{root}/jobs/source={source}/details_raw/dt={dt}/*.html"
 
 
-def _read_json(spark: SparkSession, path: str, schema, lines: bool) -> DataFrame:
-    # one JSON document per file needs multiLine; line-delimited files also split within a file
-    return spark.read.schema(schema).option("multiLine", not lines).json(path)
-
-
 def read_cards(
     spark: SparkSession, root: str, source: str, dt: str, *, lines: bool = False, path: str | None = None
 ) -> DataFrame:
-    return _read_json(spark, path or cards_path(root, source, dt), CARD_SCHEMAS[source], lines)
+    """Cards of a day. A JSON list per file needs ``multiLine``; line-delimited files also split within a file."""
+    reader = spark.read.schema(CARD_SCHEMAS[source]).option("multiLine", not lines)
+    return reader.json(path or cards_path(root, source, dt))
 
 
-def read_details(
-    spark: SparkSession, root: str, source: str, dt: str, *, lines: bool = False, path: str | None = None
-) -> DataFrame:
-    return _read_json(spark, path or details_path(root, source, dt), DETAIL_SCHEMAS[source], lines)
+def read_details(spark: SparkSession, root: str, source: str, dt: str) -> DataFrame:
+    """Details of a day, whichever of the two file forms holds them."""
+    path, reader = f"{details_path(root, source)}/dt={dt}", spark.read.schema(DETAIL_SCHEMAS[source])
+    objects = reader.json(path, multiLine=True, pathGlobFilter="job_*.json")
+    lines = reader.json(path, multiLine=False, pathGlobFilter="part-*.json")
+    return objects.unionByName(lines).withColumn("dt", F.coalesce("dt", F.lit(dt)))
 
 
 def read_html_pages(spark: SparkSession, root: str, source: str, dt: str, *, path: str | None = None) -> DataFrame:
@@ -61,22 +61,16 @@ def read_html_pages(spark: SparkSession, root: str, source: str, dt: str, *, pat
     )
 
 
-def parsed_path(root: str) -> str:
-    return f"{root}/details_parsed"
-
-
-def write_parsed_pages(details: DataFrame, root: str) -> str:
-    """Details as JSON lines, many rows per file, partitioned by source and day; a rerun replaces its own days."""
-    path = parsed_path(root)
-    writer = details.write.mode("overwrite").partitionBy("source", "dt").option("partitionOverwriteMode", "dynamic")
-    writer.option("ignoreNullFields", False).json(path)
-    return path
+def write_parsed_pages(details: DataFrame, root: str, source: str) -> None:
+    """Details of one source as JSON lines, many rows per file; a rerun replaces the days it holds, no others."""
+    writer = details.write.mode("overwrite").partitionBy("dt").option("partitionOverwriteMode", "dynamic")
+    writer.option("ignoreNullFields", False).json(details_path(root, source))
 
 
-def read_parsed_pages(spark: SparkSession, root: str, source: str, dt: str | None = None) -> DataFrame:
-    """What ``write_parsed_pages`` wrote; source and day prune partitions."""
-    pages = spark.read.schema(DETAIL_SCHEMAS[source]).json(parsed_path(root)).where(F.col("source") == source)
-    return pages if dt is None else pages.where(F.col("dt") == dt)
+def read_parsed_pages(spark: SparkSession, root: str, source: str) -> DataFrame:
+    """All days that ``write_parsed_pages`` wrote; a filter on ``dt`` prunes partitions."""
+    reader = spark.read.schema(DETAIL_SCHEMAS[source])
+    return reader.json(details_path(root, source), pathGlobFilter="part-*.json")
 
 
 def has_rows(*frames: DataFrame) -> bool:

@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from harness import views
 from hirelake.functions import rules
@@ -86,13 +85,9 @@ def lake_of_one_day(root, dt=DAY, title="Senior Data Engineer"):
     put(f"{root}/jobs/source=dou/details_raw/dt={dt}/job_vacancies_1.html", f"<h1>T</h1><div class='b-typo'>{long}</div>")
 
 
-def parse_raw(spark, params, root):
-    """Raw pages to details, then to where the silver job reads them."""
+def parse_raw(spark, params):
     for source in ("workua", "dou"):
-        path = run_details(spark, params, source)
-        rows = spark.read.json(path).where(F.col("source") == source).drop("source", "dt")
-        for r in rows.withColumn("source", F.lit(source)).withColumn("dt", F.lit(params.dt)).collect():
-            put(f"{root}/jobs/source={source}/details_parsed/dt={params.dt}/job_{r.job_id}.json", r.asDict())
+        run_details(spark, params, source)
 
 
 def params_for(root, dt=DAY, **settings):
@@ -104,7 +99,7 @@ def test_whole_day(spark, tmp_path):
     root = str(tmp_path)
     params = params_for(root)
     lake_of_one_day(params.bronze)
-    parse_raw(spark, params, params.bronze)
+    parse_raw(spark, params)
     out = run_day(spark, params)
     assert {r.source for r in out["unified"].collect()} == set(rules.SOURCES) and out["unified"].count() == 3
     dou = out["unified"].where("source = 'dou'").head()
@@ -119,7 +114,7 @@ def test_whole_day(spark, tmp_path):
 
     next_day = params_for(root, "2026-03-15")
     lake_of_one_day(next_day.bronze, "2026-03-15", "Lead Data Engineer")
-    parse_raw(spark, next_day, next_day.bronze)
+    parse_raw(spark, next_day)
     out = run_day(spark, next_day)
     assert {r.dt for r in out["unified"].collect()} == {"2026-03-15"} and out["unified"].count() == 3
     assert [r.seniority for r in out["mart_seniority_share"].collect()] == ["lead"]
@@ -137,7 +132,7 @@ def test_empty_day_writes_nothing(spark, tmp_path):
 def test_failed_check_stops_the_day(spark, tmp_path):
     params = params_for(tmp_path, DQ_MAX_UNKNOWN_RATIO="0.10")
     lake_of_one_day(params.bronze, title="Data Engineer")
-    parse_raw(spark, params, params.bronze)
+    parse_raw(spark, params)
     with pytest.raises(QualityError, match="unknown_seniority_ratio"):
         run_day(spark, params)
     assert not tables.exists(spark, f"{params.gold}/run_metrics")

@@ -54,16 +54,29 @@ def test_html_pages(spark, tmp_path):
 def test_parsed_pages_replace_only_their_day(spark, tmp_path):
     root = str(tmp_path)
 
-    def day(dt, title):
-        return spark.createDataFrame([("1", title, "dou", dt)], "job_id string, title string, source string, dt string")
+    def write(dt, title):
+        row = spark.createDataFrame([("1", title, "dou", dt)], "job_id string, title string, source string, dt string")
+        lake.write_parsed_pages(row, root, "dou")
 
-    lake.write_parsed_pages(day("2026-03-14", "a"), root)
-    lake.write_parsed_pages(day("2026-03-15", "b"), root)
-    lake.write_parsed_pages(day("2026-03-15", "c"), root)
+    write("2026-03-14", "a")
+    write("2026-03-15", "b")
+    write("2026-03-15", "c")
     rows = lake.read_parsed_pages(spark, root, "dou").orderBy("dt").collect()
     assert [(r.dt, r.title) for r in rows] == [("2026-03-14", "a"), ("2026-03-15", "c")]
-    one = lake.read_parsed_pages(spark, root, "dou", "2026-03-15")
+    one = lake.read_parsed_pages(spark, root, "dou").where("dt = '2026-03-15'")
     assert one.count() == 1 and "PartitionFilters: [isnotnull" in one._jdf.queryExecution().executedPlan().toString()
+    day = lake.read_details(spark, root, "dou", "2026-03-15").collect()
+    assert [(r.job_id, r.title, r.source, r.dt) for r in day] == [("1", "c", "dou", "2026-03-15")]
+
+
+def test_details_as_one_object_per_file(spark, tmp_path):
+    for i in (1, 2):
+        path = f"{tmp_path}/jobs/source=workua/details_parsed/dt=2026-03-14/job_{i}.json"
+        put(path, json.dumps({"job_id": str(i), "experience_text": "x", "dt": "2026-03-14"}, indent=2))
+    details = lake.read_details(spark, str(tmp_path), "workua", "2026-03-14").orderBy("job_id").collect()
+    assert [(r.job_id, r.experience_text, r.dt, r.title) for r in details] == [
+        ("1", "x", "2026-03-14", None), ("2", "x", "2026-03-14", None),
+    ]
 
 
 def test_silver_partitions(spark, tmp_path):
@@ -128,6 +141,41 @@ def test_jdbc_options_keep_the_table_definition():
     assert options["numPartitions"] == "4" and "secret" not in repr(target)
 
 
+class FakeJvm:
+    """Stands in for the JVM's driver manager and records what a promotion does."""
+
+    def __init__(self, fail=False):
+        self.calls, self.fail = [], fail
+        self._jvm = self.java = self.sql = self.DriverManager = self
+
+    def getConnection(self, *args):
+        return self
+
+    def createStatement(self):
+        return self
+
+    def setAutoCommit(self, on):
+        self.calls.append(f"auto={on}")
+
+    def execute(self, sql):
+        self.calls.append(sql.split(" (")[0])
+        if self.fail and sql.startswith("INSERT"):
+            raise RuntimeError("no")
+
+    def __getattr__(self, name):
+        return lambda: self.calls.append(name)
+
+
+def test_promotion_is_one_transaction():
+    target = JdbcTarget("url", "u", "p")
+    ok, broken = FakeJvm(), FakeJvm(fail=True)
+    warehouse.promote_in_warehouse(ok, target, "t", "t__staging")
+    assert ok.calls == ["auto=False", "TRUNCATE TABLE public.t", "INSERT INTO public.t", "commit", "close"]
+    with pytest.raises(RuntimeError):
+        warehouse.promote_in_warehouse(broken, target, "t", "t__staging")
+    assert broken.calls[-2:] == ["rollback", "close"] and "commit" not in broken.calls
+
+
 def test_params():
     settings = {"DS": "2026-03-14", "BRONZE_PATH": "b", "SILVER_PATH": "s", "GOLD_PATH": "g"}
     params = RunParams.from_settings(settings)
