@@ -640,7 +640,7 @@ def q_page_title(spark, sf_dir):
     pages = spread_small(table(spark, sf_dir, "pages").select("page_id", "html"))
     found = extract.extract_fields(pages, {"t": extract.element("h1"), "h": extract.element("title")})
     return found.select(
-        "page_id", extract.first_nonempty(F.col("t")).alias("title"), extract.first_nonempty(F.col("h")).alias("head_title")
+        "page_id", extract.first_value(F.col("t")).alias("title"), extract.first_value(F.col("h")).alias("head_title")
     )
 
 

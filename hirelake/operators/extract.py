@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
 from functools import reduce
 
 import pyarrow as pa
@@ -47,13 +47,16 @@ class Elements:
     """What to read below a root: the first match of every candidate selector, or every match of all of them.
 
     ``attribute`` reads an attribute instead of the text; ``within`` narrows the search to the first match of
-    another selector.
+    another selector; ``longer_than`` keeps only the first candidate of more characters; ``unless`` names an earlier
+    field and reads this one only where that one found nothing.
     """
 
     selectors: tuple[str, ...]
     every: bool = False
     attribute: str | None = None
     within: str | None = None
+    longer_than: int | None = None
+    unless: str | None = None
 
 
 def element(*selectors: str, **options) -> Elements:
@@ -103,7 +106,7 @@ def extract_fields(pages: DataFrame, fields: Mapping[str, Elements]) -> DataFram
     )
 
 
-def _first(values: Column) -> Column:
+def first_value(values: Column) -> Column:
     """First candidate's text, '' when absent."""
     return F.coalesce(F.get(values, 0), F.lit(""))
 
@@ -131,8 +134,8 @@ def extract_cards_workua(pages: DataFrame, base_url: str = BASE_URLS["workua"])
     found = extract_cards(pages, "div.card.job-link", fields)
 
     def valid_id(card: Column) -> Column:
-        href = collapse_space(_first(card["href"]))
-        valid = href.rlike(r"^/jobs/\d+/?$") & (_first(card["title"]) != "")
+        href = collapse_space(first_value(card["href"]))
+        valid = href.rlike(r"^/jobs/\d+/?$") & (first_value(card["title"]) != "")
         return F.when(valid, job_id_workua(href))
 
     found = found.withColumn("_ids", F.transform("cards", valid_id))
@@ -140,7 +143,7 @@ def extract_cards_workua(pages: DataFrame, base_url: str = BASE_URLS["workua"])
     kept = F.filter("cards", lambda c, i: F.array_position(F.col("_ids"), F.get(F.col("_ids"), i)) == i + 1)
     cards = _one_row_per_card(found.withColumn("cards", kept).drop("_ids"))
 
-    href, company, block = collapse_space(_first(F.col("href"))), _first(F.col("company")), _first(F.col("block"))
+    href, company, block = collapse_space(first_value(F.col("href"))), first_value(F.col("company")), first_value(F.col("block"))
     rest = F.ltrim(F.substring(block, F.length(company) + 1, F.length(block)), F.lit(" ,"))
     has_company = (company != "") & block.startswith(company)
     url = absolute_url(href, base_url)
@@ -149,11 +152,11 @@ def extract_cards_workua(pages: DataFrame, base_url: str = BASE_URLS["workua"])
         "query_name", "query_text", "role_family",
         job_id_workua(url).alias("job_id"),
         url.alias("job_url"),
-        _first(F.col("title")).alias("title"),
+        first_value(F.col("title")).alias("title"),
         company.alias("company"),
         F.when(has_company, collapse_space(rest)).otherwise(block).alias("location"),
-        _first(F.col("snippet")).alias("snippet"),
-        _first(F.col("published_text")).alias("published_text"),
+        first_value(F.col("snippet")).alias("snippet"),
+        first_value(F.col("published_text")).alias("published_text"),
         "fetched_at", "dt", "page", "position",
     )
 
@@ -169,12 +172,12 @@ def extract_cards_dou(pages: DataFrame, base_url: str = BASE_URLS["dou"]) -> Dat
         "snippet": element(".sh-info"),
     }
     cards = _one_row_per_card(extract_cards(pages, "li.l-vacancy", fields))
-    href = collapse_space(_first(F.col("href")))
+    href = collapse_space(first_value(F.col("href")))
     return cards.where(href != "").select(
         F.lit("dou").alias("source"),
         F.lit(ROLE_FAMILY).alias("role_family"),
         absolute_url(href, base_url).alias("job_url"),
-        *[_first(F.col(c)).alias(c) for c in ("title", "company", "location", "published_text", "snippet")],
+        *[first_value(F.col(c)).alias(c) for c in ("title", "company", "location", "published_text", "snippet")],
         "fetched_at", "dt", "page", "position",
     )
 
@@ -192,11 +195,11 @@ def extract_cards_ithub(pages: DataFrame, base_url: str = BASE_URLS["ithub"]) ->
         "skills_raw": element(".eventmaintag li", every=True),
     }
     cards = _one_row_per_card(extract_cards(pages, "div.view-content > div.cardbox", fields))
-    href = collapse_space(_first(F.col("href")))
+    href = collapse_space(first_value(F.col("href")))
     texts = ("title", "company", "company_type", "meta_text", "published_text", "description_full")
     return cards.where(href != "").select(
         absolute_url(href, base_url).alias("job_url"),
-        *[_first(F.col(c)).alias(c) for c in texts],
+        *[first_value(F.col(c)).alias(c) for c in texts],
         F.array_remove("skills_raw", "").alias("skills_raw"),
         F.lit("ithub").alias("source"),
         F.lit(ITHUB_QUERY_NAME).alias("query_name"),
@@ -220,18 +223,9 @@ def description_fallback(paragraphs: Column, page_text: Column) -> Column:
     return _or_else(F.array_join(long_ones, " "), F.substring(page_text, 1, DESCRIPTION_FALLBACK_CHARS))
 
 
-def first_longer_than(candidates: Column, chars: int) -> Column:
-    """First candidate text of more than ``chars`` characters, null without one."""
-    return F.get(F.filter(candidates, lambda x: F.length(x) > chars), 0)
-
-
-def first_nonempty(candidates: Column) -> Column:
-    return F.coalesce(first_longer_than(candidates, 0), F.lit(""))
-
-
-def _description(source: str) -> Column:
-    found = first_longer_than(F.col("descriptions"), MIN_DESCRIPTION_CHARS[source])
-    return F.coalesce(found, description_fallback(F.col("paragraphs"), F.col("page_text")))
+def _description() -> Column:
+    fallback = description_fallback(F.col("paragraphs"), F.col("page_text"))
+    return F.coalesce(F.get(F.col("descriptions"), 0), fallback)
 
 
 # Facts stated in the page text of a posting, matched without regard to case. Each entry is a regular
@@ -282,25 +276,25 @@ def extract_detail_workua(pages: DataFrame) -> DataFrame:
         "title": element("h1"),
         "company": element(
             "a[href*='/company/']", "div.card a[href*='/company/']", ".text-default-7 a[title]",
-            ".text-default-7 strong", ".text-default-7 b", "[data-testid='company-name']",
+            ".text-default-7 strong", ".text-default-7 b", "[data-testid='company-name']", longer_than=0,
         ),
         "descriptions": element(
             "div#job-description", "div[data-testid='job-description']", "div.wordwrap", "div.text-break",
-            "div.overflow-wrap",
+            "div.overflow-wrap", longer_than=MIN_DESCRIPTION_CHARS["workua"],
         ),
-        "paragraphs": PARAGRAPHS,
+        "paragraphs": replace(PARAGRAPHS, unless="descriptions"),
     }
     found = extract_fields(pages, fields).withColumn("page_text", html_to_text(F.col("html")))
     meta = meta_regex_fields(F.col("page_text"))
     location = _or_else(meta["location"], _place(F.col("page_text"), WORKUA_PLACES))
     return found.select(
         "job_id", "job_url",
-        _first(F.col("title")).alias("title"),
-        first_nonempty(F.col("company")).alias("company"),
+        first_value(F.col("title")).alias("title"),
+        first_value(F.col("company")).alias("company"),
         location.alias("location"),
         _search(F.col("page_text"), *WORKUA_DATE).alias("published_text"),
         *[meta[c].alias(c) for c in ("employment_type", "experience_text", "education_text")],
-        _description("workua").alias("description_full"),
+        _description().alias("description_full"),
         "page_text",
         F.lit("workua").alias("source"),
         "dt",
@@ -317,21 +311,22 @@ def extract_detail_dou(pages: DataFrame) -> DataFrame:
         "published_text": element(".date"),
         "descriptions": element(
             ".b-typo.vacancy-section", ".l-vacancy", ".b-vacancy .text", ".b-vacancy .vacancy-section", ".b-typo",
+            longer_than=MIN_DESCRIPTION_CHARS["dou"],
         ),
-        "paragraphs": PARAGRAPHS,
+        "paragraphs": replace(PARAGRAPHS, unless="descriptions"),
     }
     found = extract_fields(pages, fields).withColumn("page_text", html_to_text(F.col("html")))
-    named = F.trim(F.regexp_replace(_first(F.col("company")), rf"(?iu) {DOU_COMPANY_SUFFIX}.*$", ""))
-    linked = F.trim(F.replace(_first(F.col("company_link")), F.lit(DOU_COMPANY_SUFFIX), F.lit("")))
-    location, published = _first(F.col("location")), _first(F.col("published_text"))
+    named = F.trim(F.regexp_replace(first_value(F.col("company")), rf"(?iu) {DOU_COMPANY_SUFFIX}.*$", ""))
+    linked = F.trim(F.replace(first_value(F.col("company_link")), F.lit(DOU_COMPANY_SUFFIX), F.lit("")))
+    location, published = first_value(F.col("location")), first_value(F.col("published_text"))
     page_head = F.substring("page_text", 1, DOU_LOCATION_HEAD_CHARS)
     return found.select(
         "job_id", "job_url",
-        _first(F.col("title")).alias("title"),
+        first_value(F.col("title")).alias("title"),
         _or_else(named, linked).alias("company"),
         _or_else(location, _place(page_head, DOU_PLACES)).alias("location"),
         _or_else(published, collapse_space(F.regexp_extract("page_text", "(?U)" + DOU_DATE_REGEX, 1))).alias("published_text"),
-        _description("dou").alias("description_full"),
+        _description().alias("description_full"),
         "page_text",
         F.lit("dou").alias("source"),
         "dt",

@@ -27,7 +27,7 @@ class Page(HTMLParser):
         self.tags, self.attrs, self.parents, self.last = [], [], [], []
         self.text_from, self.text_to, self.pieces = [], [], []
         self.by_tag, self.by_class = {}, {}
-        self._open, self._buffer, self._hidden = [], [], 0
+        self._open, self._open_names, self._buffer, self._hidden = [], {}, [], 0
         try:
             self.feed(html)
             self.close()
@@ -48,6 +48,7 @@ class Page(HTMLParser):
         node = self._open.pop()
         self.last[node] = len(self.tags) - 1
         self.text_to[node] = len(self.pieces)
+        self._open_names[self.tags[node]] -= 1
         self._hidden -= self.tags[node] in HIDDEN
 
     def handle_starttag(self, tag, attrs):
@@ -66,6 +67,7 @@ class Page(HTMLParser):
             self.by_class.setdefault(c, []).append(node)
         if tag not in VOID:
             self._open.append(node)
+            self._open_names[tag] = self._open_names.get(tag, 0) + 1
             self._hidden += tag in HIDDEN
 
     def handle_startendtag(self, tag, attrs):
@@ -75,7 +77,7 @@ class Page(HTMLParser):
 
     def handle_endtag(self, tag):
         self._flush()
-        if any(self.tags[n] == tag for n in reversed(self._open)):
+        if self._open_names.get(tag):
             while self.tags[self._open[-1]] != tag:
                 self._pop()
             self._pop()
@@ -182,7 +184,10 @@ def compiled(selector):
 
 
 def field_values(page, root, field):
-    """Values of one field below ``root``: one per candidate selector (null where absent), or all matches."""
+    """Values of one field below ``root``: one per candidate selector (null where absent), or all matches.
+
+    With ``longer_than`` the first candidate of more characters is the only value.
+    """
     scope = root
     if field["within"]:
         inside = page.select(field["within"], root, first=True)
@@ -196,12 +201,24 @@ def field_values(page, root, field):
             values = [page.attrs[n].get(field["attribute"], "") for n in nodes]
         else:
             values = [page.text(n) for n in nodes]
-        out += values if field["every"] else values or [None]
+        if field["longer_than"] is not None:
+            if values and len(values[0]) > field["longer_than"]:
+                return values
+        else:
+            out += values if field["every"] else values or [None]
     return out
 
 
+def root_values(page, root, fields):
+    row = {}
+    for name, field in fields.items():
+        skip = field["unless"] and row[field["unless"]]
+        row[name] = [] if skip else field_values(page, root, field)
+    return row
+
+
 def page_elements(html, root_selector, fields):
     """One dict of field values per root element; without a root selector the page itself is the only root."""
     page = Page(html)
     roots = [-1] if root_selector is None else page.select(root_selector)
-    return [{name: field_values(page, root, f) for name, f in fields.items()} for root in roots]
+    return [root_values(page, root, fields) for root in roots]

@@ -168,3 +168,18 @@ def test_generic_cards(spark):
     df = spark.createDataFrame([("<i class='c'><b>x</b><b>y</b></i>",)], "html string")
     rows = extract.extract_cards(df, "i.c", {"b": extract.element("b", every=True)}).select(F.inline("cards")).collect()
     assert rows[0].b == ["x", "y"]
+
+
+def test_candidates_by_length_and_unless(spark):
+    fields = {
+        "long": extract.element("i", "b", longer_than=3),
+        "rest": extract.element("u", every=True, unless="long"),
+    }
+    df = spark.createDataFrame([("<i>abc</i><b>abcd</b><u>x</u>",), ("<i>abc</i><u>x</u><u>y</u>",)], "html string")
+    rows = extract.extract_fields(df, fields).collect()
+    assert [(r.long, r.rest) for r in rows] == [(["abcd"], []), ([], ["x", "y"])]
+
+
+def test_many_unclosed_tags_stay_fast():
+    page = Page("<b>x</i>" * 20_000 + "<p>y</p>")
+    assert page.text(page.select("p")[0]) == "y" and len(page.tags) == 20_001
