@@ -31,7 +31,8 @@ def html_to_text(html: Column) -> Column:
     """Visible text of a page: scripts, styles and tags removed, entities left as they are, null becomes ''."""
     bare = F.regexp_replace(F.coalesce(html, F.lit("")), r"(?is)<script.*?>.*?</script>", " ")
     bare = F.regexp_replace(bare, r"(?is)<style.*?>.*?</style>", " ")
-    return collapse_space(F.regexp_replace(bare, r"<[^>]+>", " "))
+    # tags and white space in one pass; possessive, so a long run of them needs no stack
+    return F.trim(F.regexp_replace(bare, rf"(?:<[^>]+>|{SPACE_CLASS}+)++", " "))
 
 
 def normalize_name(name: Column) -> Column:

@@ -47,8 +47,8 @@ class Elements:
     """What to read below a root: the first match of every candidate selector, or every match of all of them.
 
     ``attribute`` reads an attribute instead of the text; ``within`` narrows the search to the first match of
-    another selector; ``longer_than`` keeps only the first candidate of more characters; ``unless`` names an earlier
-    field and reads this one only where that one found nothing.
+    another selector; ``longer_than`` counts only texts of more characters (and takes the first such candidate);
+    ``unless`` names an earlier field and reads this one only where that one found nothing.
     """
 
     selectors: tuple[str, ...]
@@ -209,7 +209,7 @@ def extract_cards_ithub(pages: DataFrame, base_url: str = BASE_URLS["ithub"]) ->
     )
 
 
-PARAGRAPHS = element("p, li", every=True)
+PARAGRAPHS = element("p, li", every=True, longer_than=MIN_PARAGRAPH_CHARS)
 
 
 def _or_else(value: Column, other: Column) -> Column:
@@ -218,9 +218,8 @@ def _or_else(value: Column, other: Column) -> Column:
 
 
 def description_fallback(paragraphs: Column, page_text: Column) -> Column:
-    """All longer paragraphs and list items, else the head of the page text."""
-    long_ones = F.filter(paragraphs, lambda x: F.length(x) > MIN_PARAGRAPH_CHARS)
-    return _or_else(F.array_join(long_ones, " "), F.substring(page_text, 1, DESCRIPTION_FALLBACK_CHARS))
+    """The longer paragraphs and list items, joined, else the head of the page text."""
+    return _or_else(F.array_join(paragraphs, " "), F.substring(page_text, 1, DESCRIPTION_FALLBACK_CHARS))
 
 
 def _description() -> Column:

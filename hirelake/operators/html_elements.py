@@ -186,7 +186,7 @@ def compiled(selector):
 def field_values(page, root, field):
     """Values of one field below ``root``: one per candidate selector (null where absent), or all matches.
 
-    With ``longer_than`` the first candidate of more characters is the only value.
+    With ``longer_than`` only texts of more characters count, and the first such candidate is the only value.
     """
     scope = root
     if field["within"]:
@@ -202,8 +202,10 @@ def field_values(page, root, field):
         else:
             values = [page.text(n) for n in nodes]
         if field["longer_than"] is not None:
-            if values and len(values[0]) > field["longer_than"]:
+            values = [v for v in values if len(v) > field["longer_than"]]
+            if values and not field["every"]:
                 return values
+            out += values
         else:
             out += values if field["every"] else values or [None]
     return out

@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from datetime import date
 
+from hirelake.session import scale_conf
+
 
 def required(settings: Mapping[str, str], name: str, default: str | None = None) -> str:
     """A setting, its default, or an error that names it."""
@@ -46,13 +48,14 @@ class RunParams:
     def from_settings(cls, settings: Mapping[str, str] | None = None) -> RunParams:
         """Build from a mapping (the process environment by default).
 
-        Settings of an S3-compatible store, when present, become the matching ``spark.hadoop.fs.s3a`` options.
+        Settings of an S3-compatible store, when present, become the matching ``spark.hadoop.fs.s3a`` options, and
+        ``INPUT_BYTES`` sizes splits and shuffles.
         """
         s = os.environ if settings is None else settings
         dt = required(s, "DS")
-        conf = {}
+        conf = scale_conf(int(s["INPUT_BYTES"])) if "INPUT_BYTES" in s else {}
         if "S3_ENDPOINT" in s:
-            conf = {
+            conf |= {
                 "spark.hadoop.fs.s3a.endpoint": s["S3_ENDPOINT"],
                 "spark.hadoop.fs.s3a.access.key": required(s, "S3_ACCESS_KEY"),
                 "spark.hadoop.fs.s3a.secret.key": required(s, "S3_SECRET_KEY"),

@@ -15,6 +15,23 @@ DEFAULTS = {
 }
 
 
+_MIB = 1 << 20
+
+
+def scale_conf(input_bytes: int) -> dict[str, str]:
+    """Split and shuffle sizes for an input of so many bytes.
+
+    Scans stay near 200,000 tasks (splits of 128 MiB to 1 GiB), shuffles start from 256 MiB per partition (200 to 100,000
+    partitions, so that map times reduce blocks stay countable); AQE merges what turns out small.
+    """
+    split = min(max(input_bytes // 200_000, 128 * _MIB), 1024 * _MIB)
+    reducers = min(max(-(-input_bytes // (256 * _MIB)), 200), 100_000)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.shuffle.partitions": str(reducers),
+    }
+
+
 def build_session(name: str, conf: Mapping[str, str] | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(name)
     for key, value in {**DEFAULTS, **(conf or {})}.items():

@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 
 from hirelake.params import JdbcTarget, RunParams
 from hirelake.schemas import CLEAN_COLUMNS
-from hirelake.session import fresh_dir, shared_dir, spread_small, written_once
+from hirelake.session import fresh_dir, scale_conf, shared_dir, spread_small, written_once
 from hirelake.sources import lake, tables, warehouse
 from tests.test_operators import postings
 
@@ -190,6 +190,13 @@ def test_params():
     assert full.jdbc.url == "jdbc:postgresql://h:5432/d" and full.jdbc.table("t") == "public.t"
 
 
+def test_sizes_follow_the_input():
+    sizes = [[int(v) for v in scale_conf(b).values()] for b in (10**9, 10**12, 10**14)]
+    assert sizes == [[134217728, 200], [134217728, 3726], [500000000, 100_000]]
+    params = RunParams.from_settings({"DS": "2026-03-14", "BRONZE_PATH": "b", "SILVER_PATH": "s", "GOLD_PATH": "g", "INPUT_BYTES": "1000"})
+    assert params.spark_conf["spark.sql.shuffle.partitions"] == "200"
+
+
 def test_shared_folder_and_written_once(spark):
     assert fresh_dir(spark, "x").startswith(shared_dir(spark)) and fresh_dir(spark, "x") != fresh_dir(spark, "x")
     stored = written_once(spark.range(5).selectExpr("id", "id * 2 AS d"), "once")

@@ -26,8 +26,9 @@ def test_html_to_text(spark):
         "1 &lt; 2 &amp; 3",
         "<<<broken>>>",
         "a <b\nclass='x'> c",
+        "a" + "<br> \n" * 50_000 + "b < c",
     ]
-    assert column(spark, values, html_to_text) == ["", "a b c", "x y", "1 &lt; 2 &amp; 3", ">>", "a c"]
+    assert column(spark, values, html_to_text) == ["", "a b c", "x y", "1 &lt; 2 &amp; 3", ">>", "a c", "a b < c"]
 
 
 def test_normalize_name(spark):
