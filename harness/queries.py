@@ -320,14 +320,14 @@ def q_latest_per_uid(spark, sf_dir):
 
 
 @query(
-    """SELECT user_id, event_id, event_type, epoch_us(ts) AS ts_us FROM events QUALIFY row_number() OVER (
+    """SELECT user_id, event_id, event_type, CAST(ts AS VARCHAR) AS ts FROM events QUALIFY row_number() OVER (
   PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST) = 1"""
 )
 def q_latest_event_per_user(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "ts")
     newest = ["ts DESC NULLS LAST", "event_id DESC NULLS LAST"]
     latest = dedup.first_rank(events, ["user_id"], newest)
-    return latest.select("user_id", "event_id", "event_type", F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"))
+    return latest.select("user_id", "event_id", "event_type", F.col("ts").cast("string").alias("ts"))
 
 
 @query(
@@ -563,9 +563,8 @@ _RATIOS_CTE = "r AS (SELECT count(*) AS total_rows, " + ", ".join(
     )
 )
 def q_ratio_checks(spark, sf_dir):
-    postings = views.postings(spark, sf_dir)
-    report = quality.check_ratio_max(postings, 0.5)
-    return report.crossJoin(F.broadcast(postings.agg(F.count("*").alias("total_rows")))).select(
+    report = quality.check_ratio_max(views.postings(spark, sf_dir), 0.5)
+    return report.select(
         "check_name", F.round(F.col("ratio").cast("double"), 9).alias("ratio"),
         F.col("max_ratio").cast("double").alias("max_ratio"), "ok", "total_rows",
     )

@@ -27,6 +27,11 @@ def collapse_space(value: Column) -> Column:
     return F.trim(F.regexp_replace(F.coalesce(value, F.lit("")), f"{SPACE_CLASS}+", " "))
 
 
+def strip_space(value: Column) -> Column:
+    """Unicode white space cut from both ends; null becomes ''."""
+    return F.regexp_replace(F.coalesce(value, F.lit("")), f"^{SPACE_CLASS}+|{SPACE_CLASS}+$", "")
+
+
 def html_to_text(html: Column) -> Column:
     """Visible text of a page: scripts, styles and tags removed, entities left as they are, null becomes ''."""
     bare = F.regexp_replace(F.coalesce(html, F.lit("")), r"(?is)<script.*?>.*?</script>", " ")

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hirelake.functions.text import collapse_space, html_to_text
+from hirelake.functions.text import collapse_space, html_to_text, strip_space
 from hirelake.functions.urls import BASE_URLS, absolute_url, job_id_workua
 from hirelake.operators import html_elements
 
@@ -172,7 +172,7 @@ def extract_cards_dou(pages: DataFrame, base_url: str = BASE_URLS["dou"]) -> Dat
         "snippet": element(".sh-info"),
     }
     cards = _one_row_per_card(extract_cards(pages, "li.l-vacancy", fields))
-    href = collapse_space(first_value(F.col("href")))
+    href = strip_space(first_value(F.col("href")))
     return cards.where(href != "").select(
         F.lit("dou").alias("source"),
         F.lit(ROLE_FAMILY).alias("role_family"),
@@ -195,7 +195,7 @@ def extract_cards_ithub(pages: DataFrame, base_url: str = BASE_URLS["ithub"]) ->
         "skills_raw": element(".eventmaintag li", every=True),
     }
     cards = _one_row_per_card(extract_cards(pages, "div.view-content > div.cardbox", fields))
-    href = collapse_space(first_value(F.col("href")))
+    href = strip_space(first_value(F.col("href")))
     texts = ("title", "company", "company_type", "meta_text", "published_text", "description_full")
     return cards.where(href != "").select(
         absolute_url(href, base_url).alias("job_url"),

@@ -151,12 +151,12 @@ def quality_ratios(postings: DataFrame) -> DataFrame:
 
 
 def check_ratio_max(postings: DataFrame, limit: float = 0.80) -> DataFrame:
-    """Report (check_name, ratio, max_ratio, ok): a ratio above the limit fails, and so does a table without rows."""
+    """Report (check_name, total_rows, ratio, max_ratio, ok): a ratio above the limit fails, and so does a table without rows."""
     cap = F.lit(str(limit)).cast("decimal(38,18)")
     rows = F.array(*[F.struct(F.lit(n).alias("check_name"), F.col(n).alias("ratio")) for n in RATIOS])
-    ratios = quality_ratios(postings).select(F.inline(rows))
+    ratios = quality_ratios(postings).select("total_rows", F.inline(rows))
     return ratios.select(
-        "check_name", "ratio", cap.alias("max_ratio"), F.coalesce(F.col("ratio") <= cap, F.lit(False)).alias("ok")
+        "check_name", "total_rows", "ratio", cap.alias("max_ratio"), F.coalesce(F.col("ratio") <= cap, F.lit(False)).alias("ok")
     )
 
 

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from hirelake.functions import urls
-from hirelake.functions.text import collapse_space, html_to_text, is_blank, normalize_name
+from hirelake.functions.text import collapse_space, html_to_text, is_blank, normalize_name, strip_space
 
 
 def column(spark, values, f):
@@ -14,6 +14,10 @@ def test_collapse_space(spark):
     assert column(spark, values, collapse_space) == ["", "", "a b c", "a b c", "a b"]
 
 
+def test_strip_space(spark):
+    assert column(spark, [None, "\u00a0 a  b\n", "a"], strip_space) == ["", "a  b", "a"]
+
+
 def test_is_blank_counts_spaces_only(spark):
     assert column(spark, [None, "", "  ", "\t", "x"], is_blank) == [True, True, True, False, False]
 
