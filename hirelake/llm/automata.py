@@ -17,6 +17,7 @@ class LexiconAutomaton:
     step: np.ndarray
     term: np.ndarray
     errors: np.ndarray
+    stays: np.ndarray  # by state: no letter leads away from a match, as after a stem
     letters: dict[str, int]  # letter -> column, from 1; column 0 is any other letter
     longest: int
 
@@ -113,7 +114,8 @@ def compile_lexicon(terms: Mapping[str, bool], errors=allowed_errors) -> Lexicon
         found = min([*((e, 0, t) for e, t in whole), *((e, 1, t) for e, t in stems)], default=(0, 0, -1))
         accept[known[states]] = (found[2], found[0])
     table = np.array([rows[i] for i in range(len(known))], np.int32)
+    term = np.array([accept[i][0] for i in range(len(known))], np.int32)
+    stays = (table == np.arange(len(known))[:, None]).all(axis=1) & (term >= 0)
     return LexiconAutomaton(
-        table, np.array([accept[i][0] for i in range(len(known))], np.int32),
-        np.array([accept[i][1] for i in range(len(known))], np.int32), letters, max(map(len, order), default=0) + 1,
+        table, term, np.array([accept[i][1] for i in range(len(known))], np.int32), stays, letters, max(map(len, order), default=0) + 1,
     )

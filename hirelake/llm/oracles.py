@@ -28,6 +28,43 @@ items AS (
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op4_chat": r"""
+WITH r AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')
+),
+e AS (
+  SELECT *, length(role) + length(regexp_replace(role, '[^\\<>]', '', 'g')) AS role_size,
+    length(text) + length(regexp_replace(text, '[^\\<>]', '', 'g')) AS text_size,
+    lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) IS DISTINCT FROM role AS begins
+  FROM r
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(text_size + CASE WHEN begins THEN 15 + role_size ELSE 7 END) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id""",
+    "op6_url_filter": f"""
+WITH u AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  FROM pages
+),
+p AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{UPPER}', '{LOWER}') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM u
+),
+rules (rule_host, rule_path, action) AS (
+  VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+),
+fits AS (
+  SELECT page_id, rule_host || rule_path AS rule, action, row_number() OVER (
+    PARTITION BY page_id ORDER BY length(rule_host || rule_path) DESC, length(rule_host) DESC) AS k
+  FROM p JOIN rules ON starts_with(path, rule_path) AND (host = rule_host OR ends_with(host, '.' || rule_host))
+)
+SELECT p.page_id, host, path, rule, coalesce(action, 'allow') AS verdict
+FROM p LEFT JOIN fits ON p.page_id = fits.page_id AND k = 1""",
     "op7_exact_dedup": r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS n

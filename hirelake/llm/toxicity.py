@@ -104,7 +104,7 @@ def run(automaton: LexiconAutomaton, words: Words) -> tuple[np.ndarray, np.ndarr
         found.append(alive[over])
         results.append(state[over])
         on = (state != DEAD) & (length[alive] > step)
-        absorbed = on & (automaton.step[state] == state[:, None]).all(axis=1) if step > 3 else np.zeros(len(on), bool)
+        absorbed = on & automaton.stays[state]
         found.append(alive[absorbed])
         results.append(state[absorbed])
         alive, state = alive[on & ~absorbed], state[on & ~absorbed]
@@ -140,7 +140,6 @@ def features(texts: list[str], lex: Lexicon) -> np.ndarray:
     if not len(at):
         return out
     doc = words.document[at]
-    # lower() may lengthen a text, so documents are told by the lower-cased lengths, which Words.of has used
     quotes, first, end = words.quotes, words.first[at], words.end[at]
     before, after = np.searchsorted(quotes, first) - 1, np.searchsorted(quotes, end)
     padded = np.concatenate((quotes, [1 << 60]))
@@ -160,6 +159,19 @@ def features(texts: list[str], lex: Lexicon) -> np.ndarray:
     return out
 
 
+def parts(texts: list[str], points: int = 1 << 21) -> Iterator[list[str]]:
+    """Runs of texts of about so many characters, which bounds the arrays over them; texts are never cut."""
+    held, size = [], 0
+    for text in texts:
+        held.append(text)
+        size += len(text) + 1
+        if size >= points:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 # --- learning ---------------------------------------------------------------------------------------------------
 
 
@@ -169,7 +181,8 @@ class Model:
     coefficients: np.ndarray  # constant first
 
     def scores(self, texts: list[str]) -> np.ndarray:
-        z = self.coefficients[0] + features(texts, self.lexicon) @ self.coefficients[1:]
+        x = np.concatenate([np.zeros((0, len(FEATURES))), *(features(t, self.lexicon) for t in parts(texts))])
+        z = self.coefficients[0] + x @ self.coefficients[1:]
         return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
@@ -263,7 +276,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
 
     def rows_of(batches):
         for batch in batches:
-            x = features([t or "" for t in batch.column(0).to_pylist()], lex)
+            x = np.concatenate([features(t, lex) for t in parts([t or "" for t in batch.column(0).to_pylist()])])
             yield pa.record_batch({"x": pa.array(list(x), pa.list_(pa.float64())), "toxic": batch.column(1)})
 
     part = sample.where("part = 0").select("text", "toxic").mapInArrow(rows_of, "x array<double>, toxic int")
