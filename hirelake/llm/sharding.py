@@ -78,7 +78,9 @@ def propagate(linked: DataFrame, quota: np.ndarray, rounds: int = ROUNDS) -> Dat
         for shard, n in state.groupBy("shard").count().collect():
             load[shard] = n
         free = quota - load
-        wishes = state.join(_targets(blocks, free), ["digest", "shard"], "left").select(
+        # stored, so that the join has a plain shuffle of its own, of which Spark can split a hot group
+        targets = written_once(_targets(blocks, free), "shard-targets")
+        wishes = state.join(targets, ["digest", "shard"], "left").select(
             "uid", "digest", "shard", "target", "gain", spread(F.col("uid"), BUCKETS, number + 1).alias("bucket"))
         wishes = written_once(wishes, "shard-wishes")
         asked = wishes.where("target is not null").groupBy("target", "gain", "bucket").count().collect()
@@ -117,6 +119,7 @@ def shards(
     total = rows.count()
     quota = quotas(total, number)
     groups = rows.groupBy("digest").count().where("count > 1").select("digest", F.lit(True).alias("linked"))
+    groups = written_once(groups, "shard-groups")  # likewise
     rows = written_once(rows.join(groups, "digest", "left"), "shard-linked")
     linked = rows.where("linked")
     placed = propagate(linked, quota)
