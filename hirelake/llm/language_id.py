@@ -38,7 +38,7 @@ FAMILIES = {
     "sinitic": "zh yue",
 }
 #: Rows of each language that learning may read.
-FIT_ROWS = 500
+FIT_ROWS = 400
 #: Hash buckets of n-grams.
 BUCKETS = 1 << 13
 ORDERS = (2, 3, 4)
@@ -105,7 +105,7 @@ def frequencies(texts: list[str]) -> np.ndarray:
 def linear_svm(x: np.ndarray, y: np.ndarray, c: float = 1.0, epochs: int = 30) -> tuple[np.ndarray, float]:
     """A linear support vector machine with squared hinge loss, by dual coordinate descent; y is +1 or -1."""
     n = len(x)
-    squares = (x * x).sum(axis=1) + 1
+    squares = np.einsum("ij,ij->i", x, x) + 1
     w, bias, alpha = np.zeros(x.shape[1], np.float64), 0.0, np.zeros(n)
     order = np.random.default_rng(0)
     for _ in range(epochs):
@@ -155,7 +155,8 @@ def _choice(names: list[str], x: np.ndarray, label: np.ndarray, scale: np.ndarra
     weights, biases = np.zeros((BUCKETS, len(pairs)), np.float32), np.zeros(len(pairs))
     for column, (a, b) in enumerate(pairs):
         rows = np.isin(label, (a, b))
-        w, biases[column] = linear_svm(x[rows], np.where(label[rows] == a, 1.0, -1.0))
+        own = x if rows.all() else x[rows]
+        w, biases[column] = linear_svm(own, np.where(label[rows] == a, 1.0, -1.0))
         weights[:, column] = w * scale
     return Choice(tuple(names), pairs, weights, biases)
 
@@ -192,11 +193,15 @@ class Model:
 def fit_sample(docs: DataFrame, lang: str, rows: int = FIT_ROWS) -> DataFrame:
     """``lang, text`` of at most ``rows`` documents of each language that are not held out, first by hash of the id.
 
-    Ids are chosen without their texts (the rank limit works before the shuffle) and broadcast.
+    Ids are chosen without their texts and broadcast. The list of languages is short.
     """
     own = docs.where(F.col(lang).isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    order = Window.partitionBy(lang).orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = own.select("doc_id", lang).withColumn("k", F.row_number().over(order)).where(F.col("k") <= rows)
+    sizes = own.groupBy(lang).agg(F.count(F.lit(1)).alias("n"))
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    # a third more than wanted by hash first, so that few rows of a common language meet in one task
+    near = own.select("doc_id", lang).join(F.broadcast(sizes), lang).where(place * F.col("n") <= 1.33 * rows)
+    order = Window.partitionBy(lang).orderBy(place, "doc_id")
+    chosen = near.withColumn("k", F.row_number().over(order)).where(F.col("k") <= rows)
     ids = chosen.select("doc_id").distinct()
     return own.join(F.broadcast(ids), "doc_id").select(F.col(lang).alias("lang"), "text")
 
@@ -233,16 +238,19 @@ def fit(docs: DataFrame, lang: str = "lang", rows: int = FIT_ROWS) -> Model:
     # rarer n-grams weigh more: every bucket is divided by the root of its mean share
     scale = 1 / np.sqrt(x.mean(axis=0) + 1e-6)
     x *= scale
-    size = np.sqrt((x * x).sum(axis=1).mean())
-    x, scale = x / size, scale / size
-    family = np.array([family_of(n) for n in known["lang"]], object)
+    size = np.float32(np.sqrt(np.einsum("ij,ij->i", x, x).mean()))
+    x /= size
+    scale = scale / size
+    labels = known["lang"].to_numpy(object)
+    del known
+    family = np.array([family_of(n) for n in labels], object)
     names = sorted(set(family))
     families = _choice(names, x, np.array([names.index(f) for f in family]), scale)
     languages = {}
     for f in names:
         rows_of = family == f
-        inside = sorted(set(known["lang"][rows_of]))
-        languages[f] = _choice(inside, x[rows_of], np.array([inside.index(n) for n in known["lang"][rows_of]]), scale)
+        inside = sorted(set(labels[rows_of]))
+        languages[f] = _choice(inside, x[rows_of], np.array([inside.index(n) for n in labels[rows_of]]), scale)
     return Model(families, languages)
 
 
