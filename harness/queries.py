@@ -23,7 +23,7 @@ from hirelake.plans import details as plans_details
 from hirelake.plans import gold
 from hirelake.plans import silver as plans_silver
 from hirelake.schemas import CARD_SCHEMAS, CLEAN_COLUMNS
-from hirelake.session import fresh_dir, spread_small, written_once
+from hirelake.session import fresh_dir, written_once
 from hirelake.sources import lake, tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -388,11 +388,11 @@ def q_upsert_by_key(spark, sf_dir):
     )
 )
 def q_upsert_table(spark, sf_dir):
-    """The same replacement in a stored table: two batches, the second rewrites only the buckets it touches."""
+    """The same replacement in a stored table: three batches, each of which only adds files."""
     versions = _versions(spark, sf_dir)
     path = fresh_dir(spark, "upserted")
-    for days in (F.col("dt") < "2026-03-16", F.col("dt") >= "2026-03-16"):
-        tables.upsert_table(spark, path, dedup.latest_per_uid(versions.where(days)), "source_job_uid", buckets=16)
+    for days in (F.col("dt") < "2026-03-15", F.col("dt") == "2026-03-15", F.col("dt") >= "2026-03-16"):
+        tables.upsert_table(spark, path, dedup.latest_per_uid(versions.where(days)), "source_job_uid")
     return tables.read_upserted(spark, path)
 
 
@@ -618,7 +618,19 @@ def q_freshness(spark, sf_dir):
 
 @query(f"SELECT page_id, {o.page_text_sql('html')} AS page_text FROM pages")
 def q_html_to_text(spark, sf_dir):
-    pages = spread_small(table(spark, sf_dir, "pages").select("page_id", "html"))
+    pages = table(spark, sf_dir, "pages").select("page_id", "html")
+    return pages.select("page_id", html_to_text(F.col("html")).alias("page_text"))
+
+
+#: Pages cut off, with openers that nothing closes, closers that nothing opens, and runs of bare brackets.
+_BROKEN = """concat('<script x ', repeat('<script ', CAST(page_id % 7 AS INT)), substring(html, 1, CAST(length(html) * 2 / 3 AS INT)),
+ repeat('<style>', CAST(page_id % 3 AS INT)), substring(html, 200, 900), repeat('<', CAST(page_id % 5 AS INT)), ' a > b </SCRIPT>',
+ substring(html, 50, 400), '<style')"""
+
+
+@query(f"SELECT page_id, {o.page_text_sql('h')} AS page_text FROM (SELECT page_id, {_BROKEN} AS h FROM pages)")
+def q_html_to_text_broken(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", F.expr(_BROKEN).alias("html"))
     return pages.select("page_id", html_to_text(F.col("html")).alias("page_text"))
 
 
@@ -636,7 +648,7 @@ def _decoded(value: str) -> str:
   {o.clean_space(_decoded("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)"))} AS head_title FROM pages"""
 )
 def q_page_title(spark, sf_dir):
-    pages = spread_small(table(spark, sf_dir, "pages").select("page_id", "html"))
+    pages = table(spark, sf_dir, "pages").select("page_id", "html")
     found = extract.extract_fields(pages, {"t": extract.element("h1"), "h": extract.element("title")})
     return found.select(
         "page_id", extract.first_value(F.col("t")).alias("title"), extract.first_value(F.col("h")).alias("head_title")
@@ -668,7 +680,7 @@ FROM pages p LEFT JOIN long l ON p.page_id = l.page_id""",
     )
 )
 def q_description_fallback(spark, sf_dir):
-    pages = spread_small(table(spark, sf_dir, "pages").select("page_id", "html"))
+    pages = table(spark, sf_dir, "pages").select("page_id", "html")
     found = extract.extract_fields(pages, {"paragraphs": extract.PARAGRAPHS})
     text = extract.description_fallback(F.col("paragraphs"), html_to_text(F.col("html")))
     return found.select("page_id", text.alias("description"))
@@ -832,13 +844,11 @@ def q_json_roundtrip(spark, sf_dir):
 
 @query(ORACLES["q_silver"])
 def q_staged_replace(spark, sf_dir):
-    """A table that holds one source's postings is switched to staged files that hold all."""
+    """A name that shows one source's postings is switched to staged, partitioned files that hold all."""
     name = fresh_dir(spark, "t").rsplit("/", 1)[1].replace("-", "_")
     old, new = fresh_dir(spark, "staged"), fresh_dir(spark, "staged")
-    views.silver(spark, sf_dir, "dou").write.parquet(old)
-    views.postings(spark, sf_dir).write.parquet(new)
+    tables.write_silver_parquet(views.silver(spark, sf_dir, "dou"), old)
+    tables.write_silver_parquet(views.postings(spark, sf_dir), new)
     tables.promote_replace(spark, name, old)
     tables.promote_replace(spark, name, new)
-    location = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()["data_type"]
-    spark.sql(f"DROP TABLE {name}")  # the files stay: the table only points at them
-    return spark.read.parquet(location)
+    return spark.table(name)

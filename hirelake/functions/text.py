@@ -32,12 +32,36 @@ def strip_space(value: Column) -> Column:
     return F.regexp_replace(F.coalesce(value, F.lit("")), f"^{SPACE_CLASS}+|{SPACE_CLASS}+$", "")
 
 
+def _without_blocks(page: Column, tag: str) -> Column:
+    """``<tag …> … </tag>`` becomes a space, from an opener to the next closer after its ``>``, any case.
+
+    Linear in the page: only openers that have both a ``>`` and a closer behind them are tried. All others stand after the
+    last ``>`` before the last closer, and that part is put aside.
+    """
+    closer, size = f"</{tag}>", len(tag) + 3
+    before = F.regexp_extract(page, rf"(?is)\A(.*){closer}", 1)  # up to the last closer
+    last = F.substr(page, F.length(before) + 1, F.lit(size))
+    after = F.substr(page, F.length(before) + size + 1)
+    tried = F.regexp_extract(before, r"(?s)\A.*>", 0)
+    aside = F.substr(before, F.length(tried) + 1)
+    done = F.regexp_replace(F.concat(tried, F.lit(closer)), rf"(?is)<{tag}[^>]*+>.*?{closer}", " ")
+    left = F.when(done.endswith(closer), F.concat(F.substr(done, F.lit(1), F.length(done) - size), aside, last))
+    return F.when(page.rlike(f"(?i){closer}"), F.concat(F.coalesce(left, done), after)).otherwise(page)
+
+
 def html_to_text(html: Column) -> Column:
-    """Visible text of a page: scripts, styles and tags removed, entities left as they are, null becomes ''."""
-    bare = F.regexp_replace(F.coalesce(html, F.lit("")), r"(?is)<script.*?>.*?</script>", " ")
-    bare = F.regexp_replace(bare, r"(?is)<style.*?>.*?</style>", " ")
+    """Visible text of a page: scripts, styles and tags removed, entities left as they are, null becomes ''.
+
+    Every step is linear in the page, also where tags are cut off or never closed.
+    """
+    bare = _without_blocks(_without_blocks(F.coalesce(html, F.lit("")), "script"), "style")
+    # behind the last > there is no tag; before it, every < has a > and is tried once
+    tagged = F.regexp_extract(bare, r"(?s)\A.*>", 0)
+    plain = F.substr(bare, F.length(tagged) + 1)
     # tags and white space in one pass; possessive, so a long run of them needs no stack
-    return F.trim(F.regexp_replace(bare, rf"(?:<[^>]+>|{SPACE_CLASS}+)++", " "))
+    text = F.regexp_replace(tagged, rf"(?:<[^>]++>|{SPACE_CLASS}++)++", " ")
+    rest = F.regexp_replace(plain, f"{SPACE_CLASS}++", " ")
+    return F.trim(F.regexp_replace(F.concat(text, rest), " {2,}", " "))
 
 
 def normalize_name(name: Column) -> Column:

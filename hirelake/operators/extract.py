@@ -73,8 +73,7 @@ def _elements_udf(root: str | None, fields: Mapping[str, Elements]):
         found = [None if h is None else find(h, root, plain) for h in html.to_pylist()]
         return pa.array(found, type=arrow_type)
 
-    # not deterministic in name only: keeps Catalyst from evaluating the call once per reference
-    return F.arrow_udf(elements, T.ArrayType(row)).asNondeterministic()
+    return F.arrow_udf(elements, T.ArrayType(row))
 
 
 def _may_hold(html: Column, selector: str) -> Column:
@@ -88,19 +87,24 @@ def _may_hold(html: Column, selector: str) -> Column:
     return literal | encoded
 
 
+def _called_once(pages: DataFrame, call: Column, name: str) -> DataFrame:
+    """Add the call's result as a column. A generator of one row keeps later references from calling again, while
+    filters on the pages' own columns pass below it, to the scan."""
+    return pages.select("*", F.explode_outer(F.array(call)).alias(name))
+
+
 def extract_cards(pages: DataFrame, card_selector: str, fields: Mapping[str, Elements]) -> DataFrame:
     """Add ``cards``: one struct per matching element, in page order; the ``html`` column is dropped.
 
     Pages without the selector's class names never leave the JVM.
     """
     html = F.when(_may_hold(F.col("html"), card_selector), F.col("html"))
-    found = pages.withColumn("cards", _elements_udf(card_selector, fields)(html))
-    return found.drop("html")
+    return _called_once(pages, _elements_udf(card_selector, fields)(html), "cards").drop("html")
 
 
 def extract_fields(pages: DataFrame, fields: Mapping[str, Elements]) -> DataFrame:
     """Add one array column per field, read from the whole page; ``html`` stays."""
-    found = pages.withColumn("_page", _elements_udf(None, fields)(F.coalesce(F.col("html"), F.lit(""))))
+    found = _called_once(pages, _elements_udf(None, fields)(F.coalesce(F.col("html"), F.lit(""))), "_page")
     return found.select(
         *pages.columns, *[F.col("_page")[0][name].alias(name) for name in fields]
     )

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hirelake.functions import rules
 from hirelake.functions.text import is_blank
-from hirelake.operators.joins import cross_join_total
 
 
 def filter_blank_skills(df: DataFrame, column: str = "skills") -> DataFrame:
@@ -50,7 +49,9 @@ def share_pct(count: Column, total: Column) -> Column:
 
 def category_share(df: DataFrame, column: str) -> DataFrame:
     """Count and percentage of every value of a category column."""
-    counted = cross_join_total(count_by_category(df, column), "job_count", "_total")
+    # a few rows, one per category: their total is a window over them, and the input is planned once
+    total = F.sum("job_count").over(Window.partitionBy(F.lit(1)))
+    counted = count_by_category(df, column).withColumn("_total", total)
     return counted.select(column, "job_count", share_pct(F.col("job_count"), F.col("_total")).alias("share_pct"))
 
 

@@ -43,13 +43,14 @@ class RunParams:
     max_unknown_ratio: float = 0.80
     spark_conf: Mapping[str, str] = field(default_factory=dict)
     jdbc: JdbcTarget | None = None
+    catalog: str | None = None  # database whose names show the latest silver tables
 
     @classmethod
     def from_settings(cls, settings: Mapping[str, str] | None = None) -> RunParams:
         """Build from a mapping (the process environment by default).
 
         Settings of an S3-compatible store, when present, become the matching ``spark.hadoop.fs.s3a`` options, and
-        ``INPUT_BYTES`` sizes splits and shuffles.
+        ``INPUT_BYTES`` sizes splits and shuffles; a day sizes them from its input's listing otherwise.
         """
         s = os.environ if settings is None else settings
         dt = required(s, "DS")
@@ -80,4 +81,5 @@ class RunParams:
             max_unknown_ratio=float(required(s, "DQ_MAX_UNKNOWN_RATIO", "0.80")),
             spark_conf=conf,
             jdbc=jdbc,
+            catalog=s.get("CATALOG"),
         )

@@ -15,8 +15,10 @@ from hirelake.operators.quality import (
 )
 from hirelake.params import RunParams
 from hirelake.plans import gold
+from hirelake.plans.cards import run_cards
+from hirelake.plans.details import DETAIL_SOURCES, run_details
 from hirelake.plans.silver import run_silver
-from hirelake.session import written_once
+from hirelake.session import size_to_input, written_once
 from hirelake.sources.tables import append_run_metrics, scan_clean, silver_path
 from hirelake.sources.warehouse import write_jdbc_append, write_jdbc_replace
 
@@ -39,9 +41,11 @@ def run_gold(spark: SparkSession, params: RunParams) -> dict[str, DataFrame]:
     require_ok(expect_relationship(deduped, "source_job_uid", unified, "source_job_uid"))
     for name, expectations in gold.MART_EXPECTATIONS.items():
         require_ok(run_expectations(stored[name], expectations))
-    check_non_empty({**{f"{s}_jobs_clean": df for s, df in clean.items()}, "unified postings": unified})
+    # what the day wrote, not all history
+    today = {s: scan_clean(spark, silver_path(params.silver, s), params.dt) for s in rules.SOURCES}
+    check_non_empty({**{f"{s}_jobs_clean": df for s, df in today.items()}, "unified postings": unified})
     require_ok(check_ratio_max(unified, params.max_unknown_ratio))
-    metrics = written_once(run_metrics(clean, unified, params.run_date, params.run_name), "metrics")
+    metrics = written_once(run_metrics(today, unified, params.run_date, params.run_name), "metrics")
     append_run_metrics(metrics, f"{params.gold}/run_metrics")
     if params.jdbc:
         for name, mart in stored.items():
@@ -50,7 +54,14 @@ def run_gold(spark: SparkSession, params: RunParams) -> dict[str, DataFrame]:
     return {**stored, "unified": unified, "deduped": deduped}
 
 
-def run_day(spark: SparkSession, params: RunParams) -> dict[str, DataFrame]:
+def run_day(spark: SparkSession, params: RunParams, *, parse: bool = False) -> dict[str, DataFrame]:
+    """Silver and gold of a day; with ``parse`` its raw result pages and posting pages first."""
+    if not spark.sparkContext.getConf().contains("spark.sql.shuffle.partitions"):  # nobody has stated sizes
+        size_to_input(spark, *[f"{params.bronze}/jobs/source={s}" for s in rules.SOURCES])
+    for source in rules.SOURCES if parse else ():
+        run_cards(spark, params, source)
+        if source in DETAIL_SOURCES:
+            run_details(spark, params, source)
     for source in rules.SOURCES:
         run_silver(spark, params, source)
     return run_gold(spark, params)

@@ -12,6 +12,10 @@ from hirelake.params import RunParams
 from hirelake.sources.lake import read_cards, read_html_pages, write_parsed_pages
 
 
+#: Sources that have posting pages.
+DETAIL_SOURCES = ("workua", "dou")
+
+
 def parse_details_workua(pages: DataFrame) -> DataFrame:
     """Details of pages(job_id, html, dt); the URL is rebuilt from the id."""
     return extract_detail_workua(pages.withColumn("job_url", workua_url_from_id(F.col("job_id"))))
@@ -31,7 +35,7 @@ def parse_details_dou(pages: DataFrame, cards: DataFrame) -> DataFrame:
 
 def run_details(spark: SparkSession, params: RunParams, source: str) -> None:
     """Parse a day's raw pages of a source that has posting pages."""
-    if source not in ("workua", "dou"):
+    if source not in DETAIL_SOURCES:
         raise ValueError(f"{source} has no posting pages")
     pages = read_html_pages(spark, params.bronze, source, params.dt)
     if source == "workua":

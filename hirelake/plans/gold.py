@@ -13,13 +13,20 @@ from hirelake.operators.joins import union_sources
 from hirelake.operators.marts import category_share, order_by_count_then_key, skill_demand, source_coverage
 from hirelake.operators.project import final_projection
 from hirelake.operators.quality import Expectation, expect_accepted_values, expect_not_null, expect_unique
-from hirelake.sources.tables import exists, read_upserted, upsert_table
+from hirelake.sources.tables import compact_table, read_upserted, stored_batches, upsert_table
+
+
+#: Batches of a staging table after which it is compacted.
+COMPACT_AFTER = 30
 
 
 def stage(spark: SparkSession, clean: DataFrame, path: str, *, inclusive: bool = False) -> DataFrame:
     """Bring new days of a clean table into its staging table, one row per posting."""
     rows = clean
-    if exists(spark, path):
+    batches = stored_batches(spark, path)
+    if batches >= COMPACT_AFTER:
+        compact_table(spark, path)
+    if batches:
         rows = incremental_filter(clean, read_upserted(spark, path), inclusive=inclusive)
     upsert_table(spark, path, latest_per_uid(final_projection(rows)), "source_job_uid")
     return final_projection(read_upserted(spark, path))

@@ -27,8 +27,9 @@ from hirelake.operators.project import (
 )
 from hirelake.params import RunParams
 from hirelake.schemas import CLEAN_COLUMNS
+from hirelake.session import fresh_dir
 from hirelake.sources.lake import has_rows, read_cards, read_details
-from hirelake.sources.tables import scan_clean, silver_path, write_silver_parquet
+from hirelake.sources.tables import promote_replace, scan_clean, silver_path, write_silver_day
 from hirelake.sources.warehouse import promote_in_warehouse, write_jdbc_replace
 
 log = logging.getLogger(__name__)
@@ -113,11 +114,15 @@ def run_silver(spark: SparkSession, params: RunParams, source: str) -> DataFrame
         log.warning("no input for %s on %s, nothing written", source, params.dt)
         return None
     path = silver_path(params.silver, source)
-    write_silver_parquet(silver(cards, details, source), path)
+    write_silver_day(silver(cards, details, source), path, params.dt)
     # both sinks get the same rows: the warehouse is fed from the stored partition, not from a second computation
     stored = scan_clean(spark, path, params.dt)
     if params.jdbc:
         final, staging = f"{source}_jobs_clean", f"{source}_jobs_clean__staging"
         write_jdbc_replace(stored, params.jdbc, staging)
         promote_in_warehouse(spark, params.jdbc, final, staging)
+    if params.catalog:
+        staged = fresh_dir(spark, f"staged-{source}")
+        stored.write.partitionBy("dt").parquet(staged)
+        promote_replace(spark, f"{params.catalog}.{source}_jobs_clean", staged)
     return stored

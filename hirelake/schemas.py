@@ -9,7 +9,8 @@ def _strings(*names: str) -> list[T.StructField]:
     return [T.StructField(n, T.StringType()) for n in names]
 
 
-_PAGE = [T.StructField("page", T.LongType())]
+# The field lists of cards, details and clean postings, in their order; `position` is this library's own.
+_PAGE = [T.StructField("page", T.LongType()), T.StructField("position", T.LongType())]
 
 CARD_SCHEMAS = {
     "workua": T.StructType(

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -22,7 +22,8 @@ def scale_conf(input_bytes: int) -> dict[str, str]:
     """Split and shuffle sizes for an input of so many bytes.
 
     Scans stay near 200,000 tasks (splits of 128 MiB to 1 GiB), shuffles start from 256 MiB per partition (200 to 100,000
-    partitions, so that map times reduce blocks stay countable); AQE merges what turns out small.
+    partitions, so that map times reduce blocks stay countable); AQE merges what turns out small. Beyond 24 TiB the
+    number of partitions stays and they grow, to 1 GiB at 100 TiB; nothing else changes and no row is left out.
     """
     split = min(max(input_bytes // 200_000, 128 * _MIB), 1024 * _MIB)
     reducers = min(max(-(-input_bytes // (256 * _MIB)), 200), 100_000)
@@ -42,17 +43,10 @@ def build_session(name: str, conf: Mapping[str, str] | None = None) -> SparkSess
 def shared_dir(spark: SparkSession) -> str:
     """The folder for intermediate tables: ``spark.checkpoint.dir`` as the session states it.
 
-    Where it is unset a local session gets a temporary folder of its own. A cluster must name one, because a
-    folder on one machine is invisible to the others.
+    Where it is unset, a folder in the warehouse, which driver and executors share by definition.
     """
-    context = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not configured:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="hirelake-"))
-        configured = context.getCheckpointDir()
-    return configured.rstrip("/")
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/_intermediate").rstrip("/")
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
@@ -72,16 +66,13 @@ def written_once(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread_small(df: DataFrame) -> DataFrame:
-    """Even out rows over the cores when the whole input is less than one split per core.
+def input_bytes(spark: SparkSession, *paths: str) -> int:
+    """Bytes of all files below the paths, from their listing; contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths))
+    return files.agg(F.sum("length")).first()[0] or 0
 
-    Meant for heavy expressions directly on a scan: a small file is one row group and would be one task. What moves
-    is bounded by cores times ``spark.sql.files.maxPartitionBytes``; larger inputs are returned as they are.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
-        spark.conf.get("spark.sql.files.maxPartitionBytes")
-    )
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df.repartition(cores) if size < cores * split else df
+
+def size_to_input(spark: SparkSession, *paths: str) -> None:
+    """Set split and shuffle sizes for the files below the paths."""
+    for key, value in scale_conf(input_bytes(spark, *paths)).items():
+        spark.conf.set(key, value)

@@ -22,8 +22,8 @@ from hirelake.schemas import CARD_SCHEMAS, DETAIL_SCHEMAS
 
 def cards_path(root: str, source: str, dt: str) -> str:
     if source == "workua":
-        return f"{root}/jobs/source=workua/query=*/dt={dt}/parsed/*.json"
-    return f"{root}/jobs/source={source}/dt={dt}/parsed/search_results.json"
+        return f"{root}/jobs/source=workua/query=*/dt={dt}/parsed"
+    return f"{root}/jobs/source={source}/dt={dt}/parsed"
 
 
 def details_path(root: str, source: str) -> str:
@@ -34,17 +34,57 @@ def raw_details_path(root: str, source: str, dt: str) -> str:
     return f"{root}/jobs/source={source}/details_raw/dt={dt}/*.html"
 
 
+def _json(spark: SparkSession, schema):
+    """A malformed file raises instead of reading as nulls."""
+    return spark.read.schema(schema).option("mode", "FAILFAST")
+
+
 def read_cards(
     spark: SparkSession, root: str, source: str, dt: str, *, lines: bool = False, path: str | None = None
 ) -> DataFrame:
-    """Cards of a day. A JSON list per file needs ``multiLine``; line-delimited files also split within a file."""
-    reader = spark.read.schema(CARD_SCHEMAS[source]).option("multiLine", not lines)
-    return reader.json(path or cards_path(root, source, dt))
+    """Cards of a day, JSON lists as well as the line-delimited files that :func:`write_cards` makes.
+
+    ``path`` with ``lines`` reads other files of one form. Cards without ``position`` get one that follows their order
+    in the file (a file with a list is read by one task).
+    """
+    reader, folder = _json(spark, CARD_SCHEMAS[source]), cards_path(root, source, dt)
+    if path:
+        cards = reader.json(path, multiLine=not lines)
+    else:
+        listed = reader.json(folder, multiLine=True, pathGlobFilter="search*.json")
+        cards = listed.unionByName(reader.json(folder, multiLine=False, pathGlobFilter="part-*.json"))
+    return cards.withColumn("position", F.coalesce("position", F.monotonically_increasing_id()))
+
+
+def write_cards(cards: DataFrame, root: str, source: str, dt: str) -> None:
+    """A day's cards as JSON lines, in one folder for all queries; a rerun replaces them."""
+    cards.write.mode("overwrite").option("ignoreNullFields", False).json(parsed_cards_path(root, source, dt))
+
+
+def parsed_cards_path(root: str, source: str, dt: str) -> str:
+    return f"{root}/jobs/source={source}/{'query=all/' if source == 'workua' else ''}dt={dt}/parsed"
+
+
+def search_pages_path(root: str, source: str, dt: str) -> str:
+    return f"{root}/jobs/source={source}/{'query=*/' if source == 'workua' else ''}dt={dt}/raw/search_page_*.html"
+
+
+def read_search_pages(spark: SparkSession, root: str, source: str, dt: str, *, path: str | None = None) -> DataFrame:
+    """Every raw result page of a day: (html, source, query_name, page, fetched_at, dt); query and page from its path."""
+    pages = spark.read.text(path or search_pages_path(root, source, dt), wholetext=True)
+    file = F.col("_metadata.file_path")
+    return pages.select(
+        F.col("value").alias("html"), F.lit(source).alias("source"),
+        F.nullif(F.regexp_extract(file, r"/query=([^/]*)/", 1), F.lit("")).alias("query_name"),
+        F.regexp_extract(file, r"search_page_(\d+)\.html$", 1).cast("long").alias("page"),
+        F.date_format(F.col("_metadata.file_modification_time"), "yyyy-MM-dd'T'HH:mm:ssXXX").alias("fetched_at"),
+        F.lit(dt).alias("dt"),
+    )
 
 
 def read_details(spark: SparkSession, root: str, source: str, dt: str) -> DataFrame:
     """Details of a day, whichever of the two file forms holds them."""
-    path, reader = f"{details_path(root, source)}/dt={dt}", spark.read.schema(DETAIL_SCHEMAS[source])
+    path, reader = f"{details_path(root, source)}/dt={dt}", _json(spark, DETAIL_SCHEMAS[source])
     objects = reader.json(path, multiLine=True, pathGlobFilter="job_*.json")
     lines = reader.json(path, multiLine=False, pathGlobFilter="part-*.json")
     return objects.unionByName(lines).withColumn("dt", F.coalesce("dt", F.lit(dt)))
@@ -69,7 +109,7 @@ def write_parsed_pages(details: DataFrame, root: str, source: str) -> None:
 
 def read_parsed_pages(spark: SparkSession, root: str, source: str) -> DataFrame:
     """All days that ``write_parsed_pages`` wrote; a filter on ``dt`` prunes partitions."""
-    reader = spark.read.schema(DETAIL_SCHEMAS[source])
+    reader = _json(spark, DETAIL_SCHEMAS[source])
     return reader.json(details_path(root, source), pathGlobFilter="part-*.json")
 
 

@@ -6,10 +6,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelake.operators.incremental import upsert_by_key
 from hirelake.operators.project import final_projection
 from hirelake.schemas import CLEAN_COLUMNS
-from hirelake.session import written_once
 
 
 def silver_path(root: str, source: str) -> str:
@@ -28,6 +26,13 @@ def write_silver_parquet(postings: DataFrame, path: str, *, balance: bool = Fals
     rows.write.mode("overwrite").partitionBy("dt").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
+def write_silver_day(postings: DataFrame, path: str, day: str) -> None:
+    """Replace the run day's postings, whatever day their own ``dt`` names (kept as ``posting_dt``); no other day is
+    touched and no row is lost."""
+    rows = final_projection(postings).withColumnRenamed("dt", "posting_dt")
+    rows.write.mode("overwrite").parquet(f"{path}/dt={day}")
+
+
 def scan_clean(spark: SparkSession, path: str, dt: str | None = None) -> DataFrame:
     """A silver table with its 19 columns as text; ``dt`` prunes to one day."""
     rows = spark.read.parquet(path)
@@ -47,46 +52,74 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def promote_replace(spark: SparkSession, table: str, staged_path: str) -> None:
-    """Make staged files the content of a catalog table in one step.
+    """Make staged files the content of a catalog name in one step.
 
-    The staged columns must be the 19 in their order. Only the table's location changes, so readers see the old
-    content or the new, and no byte is copied whatever the size.
+    The name is a view over the files, which may be partitioned or not; replacing it is one change in the catalog, so
+    readers see the old content or the new, and no byte is copied whatever the size. The staged columns must be the 19,
+    in any order, and the path must not be the one that the name shows already.
     """
     staged = spark.read.parquet(staged_path)
-    if staged.columns != CLEAN_COLUMNS:
+    if set(staged.columns) != set(CLEAN_COLUMNS):
         raise ValueError(f"staged columns differ from the table's: {staged.columns}")
     if staged.isEmpty():
         raise ValueError(f"nothing staged at {staged_path}")
+    source = f"parquet.`{staged_path}`"
     if spark.catalog.tableExists(table):
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{staged_path}'")
-        spark.catalog.refreshTable(table)
-    else:
-        spark.catalog.createTable(table, path=staged_path, source="parquet", schema=staged.schema)
+        shown = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'View Text'").first()
+        if shown and source in shown["data_type"]:
+            raise ValueError(f"{staged_path} is what {table} shows already; stage to a new path")
+    columns = ", ".join(f"CAST({c} AS STRING) AS {c}" for c in CLEAN_COLUMNS)
+    spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT {columns} FROM {source}")
 
 
-_BUCKET = "key_bucket"
+# --- keyed upsert: immutable batches ----------------------------------------------------------------------------
+# <path>/data/snapshot=<k>/batch=<n>/   rows of one batch, never changed once committed
+# <path>/commits/                       one row (snapshot, batch, key) per committed batch, one small file each
 
 
-def upsert_table(spark: SparkSession, path: str, batch: DataFrame, key: str, buckets: int = 256) -> None:
-    """Keyed upsert into a parquet table that is partitioned by a hash bucket of the key.
+def _committed(spark: SparkSession, path: str) -> tuple[int, list[int], str | None]:
+    """The current snapshot, its batches and the key; a batch without commit (a crashed run) does not exist."""
+    if not exists(spark, f"{path}/commits"):
+        return 0, [], None
+    rows = spark.read.parquet(f"{path}/commits").collect()  # one row per batch of the table's life
+    snapshot = max(r["snapshot"] for r in rows)
+    return snapshot, sorted({r["batch"] for r in rows if r["snapshot"] == snapshot}), rows[0]["key"]
+
+
+def _commit(spark: SparkSession, path: str, rows: DataFrame, snapshot: int, batch: int, key: str) -> None:
+    rows.write.mode("overwrite").parquet(f"{path}/data/snapshot={snapshot}/batch={batch}")
+    row = spark.createDataFrame([(snapshot, batch, key)], "snapshot int, batch int, key string")
+    row.coalesce(1).write.mode("append").parquet(f"{path}/commits")
 
-    A key never leaves its bucket, so only the buckets that the batch touches are read and rewritten. The merged
-    rows are staged in the shared folder before any partition is replaced.
-    """
-    batch = written_once(batch, "upsert-batch")
-    bucketed = batch.withColumn(_BUCKET, F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int"))
-    if exists(spark, path):
-        # at most `buckets` numbers reach the driver
-        touched = [r[0] for r in bucketed.select(_BUCKET).distinct().collect()]
-        target = spark.read.parquet(path).where(F.col(_BUCKET).isin(touched))
-        merged = upsert_by_key(target, bucketed.select(*target.columns), key)
-        bucketed = written_once(merged, "upsert-merged")
-    writer = bucketed.hint("rebalance", _BUCKET).write.mode("overwrite").partitionBy(_BUCKET)
-    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+
+def upsert_table(spark: SparkSession, path: str, batch: DataFrame, key: str) -> None:
+    """Add a batch whose rows replace all earlier rows of their keys. Writes the batch and nothing else."""
+    snapshot, batches, known = _committed(spark, path)
+    if known not in (None, key):
+        raise ValueError(f"the table's key is {known}, not {key}")
+    _commit(spark, path, batch, snapshot, max(batches, default=0) + 1, key)
 
 
 def read_upserted(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop(_BUCKET)
+    """For each key the rows of its latest batch."""
+    snapshot, batches, key = _committed(spark, path)
+    folders = [f"{path}/data/snapshot={snapshot}/batch={n}" for n in batches]
+    rows = spark.read.option("basePath", f"{path}/data").parquet(*folders)
+    if len(batches) > 1:
+        rows = rows.withColumn("_rank", F.expr(f"rank() OVER (PARTITION BY {key} ORDER BY batch DESC)"))
+        rows = rows.where("_rank = 1").drop("_rank")
+    return rows.drop("snapshot", "batch")
+
+
+def compact_table(spark: SparkSession, path: str) -> None:
+    """Store the current rows as one batch of a new snapshot, which its commit makes current in one step."""
+    snapshot, batches, key = _committed(spark, path)
+    if len(batches) > 1:
+        _commit(spark, path, read_upserted(spark, path), snapshot + 1, 1, key)
+
+
+def stored_batches(spark: SparkSession, path: str) -> int:
+    return len(_committed(spark, path)[1])
 
 
 def materialize(df: DataFrame, name: str, kind: str = "view") -> None:

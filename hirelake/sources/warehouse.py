@@ -41,6 +41,8 @@ def promote_statements(target: JdbcTarget, final: str, staging: str) -> list[str
 
 def promote_in_warehouse(spark: SparkSession, target: JdbcTarget, final: str, staging: str) -> None:
     """Run the promotion as one transaction inside the database; the rows never pass through Spark."""
+    # loads the driver, which may come from --jars, and makes it known to the driver manager
+    spark._jvm.org.apache.spark.sql.execution.datasources.jdbc.DriverRegistry.register(target.driver)
     connection = spark._jvm.java.sql.DriverManager.getConnection(target.url, target.user, target.password)
     try:
         connection.setAutoCommit(False)

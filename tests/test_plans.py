@@ -1,15 +1,20 @@
+import os
+
 import pytest
+from pyspark.sql import functions as F
 
 from harness import views
 from hirelake.functions import rules
+from hirelake.operators.extract import extract_detail_workua
 from hirelake.operators.quality import QualityError
 from hirelake.params import RunParams
 from hirelake.plans import gold
 from hirelake.plans.daily import run_day
-from hirelake.plans.details import run_details
+from hirelake.plans.details import parse_details_dou, run_details
 from hirelake.plans.silver import run_silver, silver_all
 from hirelake.schemas import CLEAN_COLUMNS
 from hirelake.sources import tables
+from hirelake.sources.lake import read_cards
 from tests.test_operators import postings
 from tests.test_sources import put
 
@@ -122,6 +127,77 @@ def test_whole_day(spark, tmp_path):
     assert tables.scan_clean(spark, tables.silver_path(params.silver, "dou")).count() == 2
 
 
+def test_metrics_count_the_day_alone(spark, tmp_path):
+    for dt in (DAY, "2026-03-15"):
+        params = params_for(tmp_path, dt)
+        lake_of_one_day(params.bronze, dt)
+        parse_raw(spark, params)
+        run_day(spark, params)
+    rows = spark.read.parquet(f"{params.gold}/run_metrics").where("metric_name = 'row_count' and source_name <> 'all_sources'")
+    assert {(str(r.run_date), r.source_name, int(r.metric_value)) for r in rows.collect()} == {
+        (dt, s, 1) for dt in (DAY, "2026-03-15") for s in rules.SOURCES}
+
+
+WORKUA = "<div class='card job-link'><h2><a href='/jobs/{0}/'>{1}</a></h2><div class='mt-xs'><span class='strong-600'>ACME</span>, Kyiv</div></div>"
+DOU = "<li class='l-vacancy'><a class='vt' href='https://jobs.dou.ua/companies/c/vacancies/{0}/'>{1}</a></li>"
+ITHUB = "<div class='view-content'><div class='cardbox'><h2><a href='/jobs/{0}'>{1}</a></h2></div></div>"
+
+
+def test_day_from_raw_result_pages(spark, tmp_path):
+    params = params_for(tmp_path, DQ_MAX_UNKNOWN_RATIO="1.0")
+    lake_of_one_day(params.bronze)
+    jobs = f"{params.bronze}/jobs"
+    for file in ("source=workua/query=q", "source=dou", "source=ithub"):
+        for name in os.listdir(f"{jobs}/{file}/dt={DAY}/parsed"):
+            os.remove(f"{jobs}/{file}/dt={DAY}/parsed/{name}")
+
+    def page(source, number, html):
+        put(f"{jobs}/source={source}/dt={DAY}/raw/search_page_{number}.html", f"<html><body>{html}</body></html>")
+
+    # the posting 7 is on two pages of the first query and, with another title, in the second query
+    page("workua/query=inzhener_danykh", 1, WORKUA.format(7, "later query") + WORKUA.format(8, "Data Engineer"))
+    page("workua/query=data_engineer", 1, WORKUA.format(7, "Senior Data Engineer"))
+    page("workua/query=data_engineer", 2, WORKUA.format(7, "later page"))
+    page("dou", 1, DOU.format(1, "Data Engineer") + DOU.format(1, "again"))
+    page("dou", 10, DOU.format(1, "page ten") + DOU.format(2, "Data Engineer"))
+    page("ithub", 1, ITHUB.format("x", "Data Engineer"))
+    page("ithub", 2, ITHUB.format("x", "again"))
+    out = run_day(spark, params, parse=True)
+    titles = {(r.source, r.job_url.rstrip("/").rsplit("/", 1)[1]): r.title for r in out["unified"].collect()}
+    assert titles == {("workua", "7"): "Senior Data Engineer", ("workua", "8"): "Data Engineer", ("dou", "1"): "Data Engineer",
+                      ("dou", "2"): "Data Engineer", ("ithub", "x"): "Data Engineer"}
+    cards = read_cards(spark, params.bronze, "workua", DAY)
+    assert {(r.job_id, r.query_text, r.page, r.position) for r in cards.collect()} == {
+        ("7", "data engineer", 1, 0), ("8", "інженер даних", 1, 1)}
+
+
+def test_last_card_of_a_page_wins(spark, tmp_path):
+    cards = [{"job_url": "https://jobs.dou.ua/vacancies/1/?from=z", "page": 1}, {"job_url": "https://jobs.dou.ua/vacancies/1/?from=a", "page": 1}]
+    put(f"{tmp_path}/jobs/source=dou/dt={DAY}/parsed/search_results.json", cards)
+    pages = spark.createDataFrame([("vacancies_1", "<h1>T</h1>", DAY, "dou")], "job_id string, html string, dt string, source string")
+    found = parse_details_dou(pages, read_cards(spark, str(tmp_path), "dou", DAY)).collect()
+    assert [r.job_url for r in found] == ["https://jobs.dou.ua/vacancies/1/?from=a"]
+
+
+def test_filters_pass_the_extraction(spark, tmp_path):
+    pages = spark.createDataFrame([("1", "u", "<h1>T</h1>", d) for d in (DAY, "2026-03-15")], "job_id string, job_url string, html string, dt string")
+    pages.write.partitionBy("dt").parquet(f"{tmp_path}/p")
+    stored = spark.read.parquet(f"{tmp_path}/p").withColumn("dt", F.col("dt").cast("string"))
+    one = extract_detail_workua(stored).where(f"dt = '{DAY}'")
+    plan = plan_of(one)
+    assert plan.count("ArrowEvalPython") == 1
+    assert "PartitionFilters: []" not in plan and "PartitionFilters: [" in plan
+    assert [(r.title, r.dt) for r in one.collect()] == [("T", DAY)]
+    whole = plan_of(extract_detail_workua(stored))
+    assert whole.count("ArrowEvalPython") == 1
+
+
+def test_shares_plan_their_input_once(spark, sf_dir):
+    plan = plan_of(gold.marts(gold.deduped(views.postings(spark, sf_dir)))["mart_seniority_share"])
+    assert plan.count("Exchange hashpartitioning(cross_source_job_key") <= 1 and "CartesianProduct" not in plan
+    assert "BroadcastNestedLoopJoin" not in plan
+
+
 def test_empty_day_writes_nothing(spark, tmp_path):
     params = params_for(tmp_path)
     put(f"{params.bronze}/jobs/source=ithub/dt={DAY}/parsed/search_results.json", [])

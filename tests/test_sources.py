@@ -3,10 +3,11 @@ import os
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from hirelake.params import JdbcTarget, RunParams
 from hirelake.schemas import CLEAN_COLUMNS
-from hirelake.session import fresh_dir, scale_conf, shared_dir, spread_small, written_once
+from hirelake.session import fresh_dir, input_bytes, scale_conf, shared_dir, written_once
 from hirelake.sources import lake, tables, warehouse
 from tests.test_operators import postings
 
@@ -96,27 +97,72 @@ def test_promote_replace(spark, tmp_path):
     good = postings(spark, dict(source_job_uid="a"))
     good.write.parquet(f"{tmp_path}/v1")
     postings(spark, dict(source_job_uid="b")).write.parquet(f"{tmp_path}/v2")
-    good.select(*reversed(CLEAN_COLUMNS)).write.parquet(f"{tmp_path}/wrong")
+    good.drop("skills").write.parquet(f"{tmp_path}/wrong")
     good.limit(0).write.parquet(f"{tmp_path}/empty")
     tables.promote_replace(spark, "promoted", f"{tmp_path}/v1")
     tables.promote_replace(spark, "promoted", f"{tmp_path}/v2")
     assert [r.source_job_uid for r in spark.table("promoted").collect()] == ["b"]
-    for bad in ("wrong", "empty"):
+    tables.write_silver_parquet(good.withColumn("dt", F.lit("2026-03-14")), f"{tmp_path}/days")
+    tables.promote_replace(spark, "promoted", f"{tmp_path}/days")  # the partitioned layout, dt last
+    assert spark.table("promoted").columns == CLEAN_COLUMNS
+    assert [(r.source_job_uid, r.dt) for r in spark.table("promoted").collect()] == [("a", "2026-03-14")]
+    tables.promote_replace(spark, "promoted", f"{tmp_path}/v2")
+    for bad in ("wrong", "empty", "v2"):  # the last is no fresh path
         with pytest.raises(ValueError):
             tables.promote_replace(spark, "promoted", f"{tmp_path}/{bad}")
     assert [r.source_job_uid for r in spark.table("promoted").collect()] == ["b"]
-    spark.sql("DROP TABLE promoted")
+    spark.sql("DROP VIEW promoted")
 
 
 def test_upsert_table(spark, tmp_path):
     path = f"{tmp_path}/t"
-    tables.upsert_table(spark, path, spark.createDataFrame([(f"k{i}", 1) for i in range(50)], "k string, v int"), "k", 8)
+    tables.upsert_table(spark, path, spark.createDataFrame([(f"k{i}", 1) for i in range(50)], "k string, v int"), "k")
     batch = spark.createDataFrame([("k3", 2), ("new", 2)], "k string, v int")
-    tables.upsert_table(spark, path, batch, "k", 8)
+    before = files_of(path)
+    tables.upsert_table(spark, path, batch, "k")
+    assert before == {f: t for f, t in files_of(path).items() if f in before}  # no older file is rewritten
     first = sorted(map(tuple, tables.read_upserted(spark, path).collect()))
     assert len(first) == 51 and ("k3", 2) in first and ("k3", 1) not in first
-    tables.upsert_table(spark, path, batch, "k", 8)
+    tables.upsert_table(spark, path, batch, "k")
+    assert sorted(map(tuple, tables.read_upserted(spark, path).collect())) == first
+    before = files_of(path)
+    tables.compact_table(spark, path)
+    assert before.items() <= files_of(path).items() and tables.stored_batches(spark, path) == 1
     assert sorted(map(tuple, tables.read_upserted(spark, path).collect())) == first
+    batch.write.parquet(f"{path}/data/snapshot=1/batch=2")  # a run that stopped before its commit
+    assert sorted(map(tuple, tables.read_upserted(spark, path).collect())) == first
+    with pytest.raises(ValueError, match="key is k"):
+        tables.upsert_table(spark, path, batch, "v")
+
+
+def files_of(path):
+    found = [os.path.join(d, f) for d, _, names in os.walk(path) for f in names if f.startswith("part")]
+    return {f: os.stat(f).st_mtime_ns for f in found}
+
+
+def test_a_day_keeps_all_its_rows_and_touches_no_other(spark, tmp_path):
+    path = f"{tmp_path}/s"
+    tables.write_silver_day(postings(spark, dict(source_job_uid="old", dt="2026-03-14")), path, "2026-03-14")
+    mixed = [dict(source_job_uid="a", dt=None), dict(source_job_uid="b", dt="2026-03-14"), dict(source_job_uid="c", dt="2026-03-15")]
+    tables.write_silver_day(postings(spark, *mixed), path, "2026-03-15")
+    assert sorted(r.source_job_uid for r in tables.scan_clean(spark, path, "2026-03-15").collect()) == ["a", "b", "c"]
+    assert [r.source_job_uid for r in tables.scan_clean(spark, path, "2026-03-14").collect()] == ["old"]
+    assert {r.posting_dt for r in spark.read.parquet(path).where("dt = '2026-03-15'").collect()} == {None, "2026-03-14", "2026-03-15"}
+
+
+def test_malformed_json_raises(spark, tmp_path):
+    folder = f"{tmp_path}/jobs/source=dou/dt=2026-03-14/parsed"
+    os.makedirs(folder)
+    with open(f"{folder}/search_results.json", "w") as f:
+        f.write('[{"job_url": "u"}, {"job_url": ')
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|Malformed"):
+        lake.read_cards(spark, str(tmp_path), "dou", "2026-03-14").collect()
+
+
+def test_sizes_from_the_listing(spark, tmp_path):
+    spark.range(1000).repartition(3).write.parquet(f"{tmp_path}/x")
+    listed = sum(os.path.getsize(f"{tmp_path}/x/{f}") for f in os.listdir(f"{tmp_path}/x") if f.startswith("part"))
+    assert input_bytes(spark, f"{tmp_path}/x") == listed
 
 
 def test_materialize_and_metrics(spark, tmp_path):
@@ -147,6 +193,10 @@ class FakeJvm:
     def __init__(self, fail=False):
         self.calls, self.fail = [], fail
         self._jvm = self.java = self.sql = self.DriverManager = self
+        self.org = self.apache = self.spark = self.execution = self.datasources = self.jdbc = self.DriverRegistry = self
+
+    def register(self, driver):
+        self.calls.append(f"register {driver}")
 
     def getConnection(self, *args):
         return self
@@ -170,7 +220,7 @@ def test_promotion_is_one_transaction():
     target = JdbcTarget("url", "u", "p")
     ok, broken = FakeJvm(), FakeJvm(fail=True)
     warehouse.promote_in_warehouse(ok, target, "t", "t__staging")
-    assert ok.calls == ["auto=False", "TRUNCATE TABLE public.t", "INSERT INTO public.t", "commit", "close"]
+    assert ok.calls == ["register org.postgresql.Driver", "auto=False", "TRUNCATE TABLE public.t", "INSERT INTO public.t", "commit", "close"]
     with pytest.raises(RuntimeError):
         warehouse.promote_in_warehouse(broken, target, "t", "t__staging")
     assert broken.calls[-2:] == ["rollback", "close"] and "commit" not in broken.calls
@@ -201,13 +251,3 @@ def test_shared_folder_and_written_once(spark):
     assert fresh_dir(spark, "x").startswith(shared_dir(spark)) and fresh_dir(spark, "x") != fresh_dir(spark, "x")
     stored = written_once(spark.range(5).selectExpr("id", "id * 2 AS d"), "once")
     assert stored.count() == 5 and "ReadSchema: struct<id:bigint>" in stored.select("id")._jdf.queryExecution().executedPlan().toString()
-
-
-def test_spread_small(spark, sf_dir):
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    assert spread_small(pages).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
-    try:
-        assert spread_small(pages) is pages
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")

@@ -1,3 +1,6 @@
+import re
+import time
+
 from pyspark.sql import functions as F
 
 from hirelake.functions import urls
@@ -59,3 +62,34 @@ def test_absolute_url(spark):
     values = ["/a", "https://o/x", "//o/x", "?q=1", "rel", "mailto:x"]
     expected = ["https://h/a", "https://o/x", "https://o/x", "https://h?q=1", "https://h/rel", "mailto:x"]
     assert column(spark, values, lambda c: urls.absolute_url(c, "https://h")) == expected
+
+
+def original(page):
+    """The three rules as plain patterns, in their order."""
+    page = re.sub(r"(?is)<script.*?>.*?</script>", " ", page, flags=re.A)
+    page = re.sub(r"(?is)<style.*?>.*?</style>", " ", page, flags=re.A)
+    return re.sub(r"[\s]+", " ", re.sub(r"<[^>]+>", " ", page)).strip(" ")
+
+
+BROKEN = [
+    "a<script>b</script>c", "a<script b</script>c", "a<script <script> x </script> y </script> z", "<script>a", "a</script>b",
+    "<SCRIPT x>y</Script>z<style>q</STYLE>r<style>s", "a < b > c <d", "<<<>>><>", "x<script>1</script><script 2</script>3",
+    "<style><script></style>t</script>u", "a <b> <c>  d<", "", "<scripty>q</scripty></script>w", "\n<p>a</p>\n\n<p>b",
+]
+
+
+def test_html_to_text_of_broken_pages(spark):
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(BROKEN)], "i int, p string")
+    got = [r[0] for r in df.orderBy("i").select(html_to_text(F.col("p"))).collect()]
+    assert got == [original(p) for p in BROKEN]
+
+
+def test_html_to_text_is_linear(spark):
+    size = 1_000_000
+    pages = ["<script" * (size // 7), "<script>" * (size // 8), "<a" * (size // 2), "<" * size, "<script" * (size // 7) + "</script>",
+             "<style>" * (size // 7) + "x", "<script></script>" * (size // 17), "</script>" * (size // 9), "<>" * (size // 2)]
+    for page in pages:
+        df = spark.createDataFrame([(page,)], "p string").select(F.length(html_to_text(F.col("p"))))
+        start = time.perf_counter()
+        df.collect()
+        assert time.perf_counter() - start < 5, page[:20]
