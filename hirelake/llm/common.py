@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hirelake.session import written_once
+
 #: Rows of narrow keys that a broadcast may hold (about 64 MB as a hash table); more rows are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
 
@@ -40,6 +42,18 @@ def without_ids(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id") ->
     return docs.join(right, docs[id_col].eqNullSafe(right["dropped_id"]), "left_anti")
 
 
+def shared_ids(result: DataFrame) -> DataFrame:
+    """Ids (null included) that several rows of ``result`` bear, as stored ``dropped_id``; none where ids are a key."""
+    twice = result.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return written_once(twice.select(F.col("doc_id").alias("dropped_id")), "shared-ids")
+
+
+def with_ids(docs: DataFrame, wanted: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` whose id is in ``wanted`` (stored, one column ``dropped_id``), null ids included."""
+    right = F.broadcast(wanted) if small(wanted) else wanted
+    return docs.join(right, docs[id_col].eqNullSafe(right["dropped_id"]), "left_semi")
+
+
 def spread(column: Column, buckets: int, salt: int = 0) -> Column:
     """An even bucket number for any value, null included."""
     return F.pmod(F.xxhash64(column, F.lit(salt)), F.lit(buckets)).cast("int")

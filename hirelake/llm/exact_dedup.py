@@ -21,7 +21,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hirelake.llm.common import BROADCAST_ROWS, id_and_text, run_starts, small, utf8, without_ids
+from hirelake.llm.common import (
+    BROADCAST_ROWS, id_and_text, run_starts, shared_ids, small, utf8, with_ids, without_ids,
+)
 from hirelake.session import written_once
 
 #: White space that the comparison ignores: space and U+0009 to U+000D.
@@ -174,15 +176,25 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each group of equal texts, all columns as they were."""
+    """``docs`` with one row of each group of equal texts, all columns as they were.
+
+    Where several rows share an id, or have none, id and text together tell which rows go; of rows that agree in both
+    the longest stays.
+    """
     result = written_once(exact_dedup(docs, id_col, text_col), "dedup-result")
-    left = without_ids(docs, result.where("not kept").select(F.col("doc_id").alias("dropped_id")), id_col)
-    twice = result.where("kept").groupBy("doc_id").count().where("count > 1")
-    twice = written_once(twice.select(F.col("doc_id").alias("dropped_id")), "dedup-twice")
-    if twice.isEmpty():
-        return left
-    once = left.join(twice, left[id_col].eqNullSafe(twice["dropped_id"]), "left_semi").dropDuplicates([id_col])
-    return without_ids(left, twice, id_col).unionByName(once)
+    shared = shared_ids(result)
+    dropped = result.where("not kept").select(F.col("doc_id").alias("dropped_id"))
+    if shared.isEmpty():
+        return without_ids(docs, dropped, id_col)
+    left = without_ids(docs, written_once(dropped.unionAll(shared), "dedup-dropped"), id_col)
+    stays = with_ids(result.where("kept"), shared).select(
+        F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_text")).distinct()
+    digest = F.sha2(F.translate(F.coalesce(docs[text_col].cast("string"), F.lit("")), WHITE_SPACE.decode(), "").cast("binary"), 256)
+    rows = with_ids(docs, shared, id_col).select(F.struct(*docs.columns).alias("row"), digest.alias("digest"))
+    size = F.length(F.col("row")[text_col].cast("string"))
+    rows = rows.join(stays, rows["row"][id_col].cast("long").eqNullSafe(stays["kept_id"]) & (rows["digest"] == stays["kept_text"]))
+    once = rows.groupBy("kept_id", "kept_text").agg(F.max_by("row", F.coalesce(size, F.lit(0))).alias("row"))
+    return left.unionByName(once.select("row.*"))
 
 
 __all__ = ["BROADCAST_ROWS", "exact_dedup", "fingerprints", "merged", "partition_filters", "without_copies"]

@@ -21,12 +21,13 @@ from itertools import combinations
 from math import comb
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hirelake.llm.common import id_and_text, run_starts, small, utf8, without_ids
+from hirelake.llm.common import id_and_text, run_starts, shared_ids, small, utf8, with_ids, without_ids
 from hirelake.session import written_once
 
 BITS = 64
@@ -338,8 +339,29 @@ def near_dedup(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with the document of the smallest id of each component; rows without id stay."""
-    result = written_once(near_dedup(docs, id_col, text_col, **options), "simhash-result")
+def one_per_component(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 2
+) -> DataFrame:
+    """``docs`` with the document of the smallest id of each component, all columns as they were.
+
+    Where several rows share an id, id and fingerprint together tell which rows go. Rows without id stay, for no id
+    can name one of them.
+    """
+    result = written_once(near_dedup(docs, id_col, text_col, shingle, distance), "simhash-result")
+    shared = shared_ids(result.where("doc_id is not null"))
     dropped = result.where("doc_id <> component_id").select(F.col("doc_id").alias("dropped_id"))
-    return without_ids(docs, dropped, id_col)
+    if shared.isEmpty():
+        return without_ids(docs, dropped, id_col)
+    left = without_ids(docs, written_once(dropped.unionAll(shared), "simhash-dropped"), id_col)
+    stays = with_ids(result.where("doc_id = component_id"), shared).select(
+        F.col("doc_id").alias("kept_id"), F.col("fingerprint").alias("kept_print")).distinct()
+
+    @F.pandas_udf("string")
+    def printed(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: f"{fingerprint((t or '').encode(), shingle):016x}")
+
+    own = printed(docs[text_col].cast("string"))
+    rows = with_ids(docs, shared, id_col).select(F.struct(*docs.columns).alias("row"), own.alias("print"))
+    rows = rows.join(stays, (rows["row"][id_col].cast("long") == stays["kept_id"]) & (rows["print"] == stays["kept_print"]),
+                     "left_semi")
+    return left.unionByName(rows.select("row.*"))

@@ -55,6 +55,17 @@ def test_simhash(docs, empty):
     assert simhash.near_dedup(empty).count() == 0
 
 
+def test_rows_that_share_an_id_are_told_apart_by_text(make):
+    rows = make([(1, "a b"), (2, "a b"), (2, "own text"), (None, "a b"), (None, "only here"), (None, "only\there"), (3, "ab")])
+    kept = exact_dedup.without_copies(rows)
+    assert kept.columns == rows.columns
+    got = sorted((str(r.doc_id), "".join(r.text.split())) for r in kept.collect())
+    assert got == [("1", "ab"), ("2", "owntext"), ("None", "onlyhere")]
+    near = simhash.one_per_component(make([(1, "a b c"), (2, "a b c"), (2, "own text"), (2, None), (None, "a b c")]))
+    assert sorted((str(r.doc_id), str(r.text)) for r in near.collect()) == [
+        ("1", "a b c"), ("2", "None"), ("2", "own text"), ("None", "a b c")]
+
+
 def test_decontaminate(spark, docs, empty, bench):
     got = {r.doc_id: r for r in decontaminate.contamination(docs, bench).collect()}
     assert [(s.first, s.end) for s in got[1].spans] == [(1, 4)] and got[1]["items"] == [1]
