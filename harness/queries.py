@@ -563,7 +563,9 @@ _RATIOS_CTE = "r AS (SELECT count(*) AS total_rows, " + ", ".join(
     )
 )
 def q_ratio_checks(spark, sf_dir):
-    report = quality.check_ratio_max(views.postings(spark, sf_dir), 0.5)
+    postings = views.postings(spark, sf_dir)
+    quality.check_non_empty({"postings": postings})
+    report = quality.check_ratio_max(postings, 0.5)
     return report.select(
         "check_name", F.round(F.col("ratio").cast("double"), 9).alias("ratio"),
         F.col("max_ratio").cast("double").alias("max_ratio"), "ok", "total_rows",

@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from harness.queries import ORACLES, QUERIES
+from harness.plan_queries import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
