@@ -111,31 +111,24 @@ def merged(filters: DataFrame, bits: int) -> DataFrame:
 def _only(docs: DataFrame, repeated: DataFrame) -> DataFrame:
     """Normalised bytes of the documents whose fingerprint is in ``repeated`` (stored).
 
-    Up to BROADCAST_ROWS fingerprints are broadcast (8 MB) and texts are sifted where they are read; beyond that,
-    the texts are joined with the fingerprints by a shuffle.
+    Up to BROADCAST_ROWS fingerprints are broadcast by Spark (64 MB at most), so that texts are sifted where they are
+    read; beyond that, texts and fingerprints are joined by a shuffle.
     """
-    sift = small(repeated)
-    wanted = None
-    if sift:
-        values = np.sort(np.array([r[0] for r in repeated.select("fingerprint").collect()], np.int64))
-        wanted = docs.sparkSession.sparkContext.broadcast(values)
 
-    def pick(batches):
+    def keyed(batches):
         for batch in batches:
             raw = utf8(batch.column(1))
             short = [normalised(t) for t in raw]
-            prints = np.array([xxhash.xxh64_intdigest(t) for t in short], np.uint64).view(np.int64)
-            keep = np.isin(prints, wanted.value) if sift else np.ones(len(prints), bool)
-            at = np.flatnonzero(keep)
             yield pa.record_batch({
-                "fingerprint": pa.array(prints[at]),
-                "bytes": pa.array([short[i] for i in at], pa.binary()),
-                "doc_id": batch.column(0).take(pa.array(at)),
-                "n_points": pa.array([len(raw[i].decode()) for i in at], pa.int64()),
+                "fingerprint": pa.array(np.array([xxhash.xxh64_intdigest(t) for t in short], np.uint64).view(np.int64)),
+                "bytes": pa.array(short, pa.binary()),
+                "doc_id": batch.column(0),
+                "n_points": pa.array([len(t.decode()) for t in raw], pa.int64()),
             })
 
-    rows = docs.mapInArrow(pick, "fingerprint long, bytes binary, doc_id long, n_points long")
-    return rows if sift else rows.join(repeated.select("fingerprint"), "fingerprint", "left_semi")
+    rows = docs.mapInArrow(keyed, "fingerprint long, bytes binary, doc_id long, n_points long")
+    wanted = repeated.select("fingerprint")
+    return rows.join(F.broadcast(wanted) if small(repeated) else wanted, "fingerprint", "left_semi")
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
