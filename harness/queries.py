@@ -690,7 +690,7 @@ def q_description_fallback(spark, sf_dir):
 
 _META_SQL = {
     name: o.clean_space(f"regexp_extract(page_text, {o._quote('(?i)' + regex)}, 1)")
-    for name, (regex, _) in extract.META_FACTS.items()
+    for name, (regex, *_) in extract.META_FACTS.items()
 }
 
 

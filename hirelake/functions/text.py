@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,36 +34,45 @@ def strip_space(value: Column) -> Column:
     return F.regexp_replace(F.coalesce(value, F.lit("")), f"^{SPACE_CLASS}+|{SPACE_CLASS}+$", "")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is evaluated once, however often the body names it.
+
+    The value becomes a lambda variable. Written out instead, every use would be a copy of the whole expression, and copies of
+    copies outgrow the code generator.
+    """
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def _without_blocks(page: Column, tag: str) -> Column:
     """``<tag …> … </tag>`` becomes a space, from an opener to the next closer after its ``>``, any case.
 
-    Linear in the page: only openers that have both a ``>`` and a closer behind them are tried. All others stand after the
-    last ``>`` before the last closer, and that part is put aside.
+    The first opener that finds no end takes the rest of the page, unchanged but for a space at its end. What it takes no
+    later opener can match either, so at most one opener reads to the end in vain, and the step is linear.
     """
-    closer, size = f"</{tag}>", len(tag) + 3
-    before = F.regexp_extract(page, rf"(?is)\A(.*){closer}", 1)  # up to the last closer
-    last = F.substr(page, F.length(before) + 1, F.lit(size))
-    after = F.substr(page, F.length(before) + size + 1)
-    tried = F.regexp_extract(before, r"(?s)\A.*>", 0)
-    aside = F.substr(before, F.length(tried) + 1)
-    done = F.regexp_replace(F.concat(tried, F.lit(closer)), rf"(?is)<{tag}[^>]*+>.*?{closer}", " ")
-    left = F.when(done.endswith(closer), F.concat(F.substr(done, F.lit(1), F.length(done) - size), aside, last))
-    return F.when(page.rlike(f"(?i){closer}"), F.concat(F.coalesce(left, done), after)).otherwise(page)
+    return F.regexp_replace(page, rf"(?is)<{tag}(?:[^>]*+>.*?</{tag}>|(?<=(<{tag}))(.*+))", "$1$2 ")
+
+
+# a run of tags and white space; possessive, so a long run needs no stack, and its first character is tested once
+_GAP = rf"(?=[<\t-\r\x1c-\x20\x85\p{{Z}}])(?:<[^>]++>|{SPACE_CLASS}++)++"
+
+
+def _without_tags(page: Column) -> Column:
+    """Tags become a space, white space collapses. Behind the last ``>`` there is no tag; before it every ``<`` has an
+    end and is tried once."""
+    def joined(tail: Column) -> Column:
+        tagged = F.substr(page, F.lit(1), F.length(page) - F.length(tail))
+        rest = F.regexp_replace(tail, f"{SPACE_CLASS}++", " ")
+        return F.trim(F.concat(F.regexp_replace(tagged, _GAP, " "), F.ltrim(rest)))
+
+    return let(F.substring_index(page, ">", -1), joined)
 
 
 def html_to_text(html: Column) -> Column:
     """Visible text of a page: scripts, styles and tags removed, entities left as they are, null becomes ''.
 
-    Every step is linear in the page, also where tags are cut off or never closed.
+    Every step is linear in the page, also where tags are cut off or never closed, and the page is named once.
     """
-    bare = _without_blocks(_without_blocks(F.coalesce(html, F.lit("")), "script"), "style")
-    # behind the last > there is no tag; before it, every < has a > and is tried once
-    tagged = F.regexp_extract(bare, r"(?s)\A.*>", 0)
-    plain = F.substr(bare, F.length(tagged) + 1)
-    # tags and white space in one pass; possessive, so a long run of them needs no stack
-    text = F.regexp_replace(tagged, rf"(?:<[^>]++>|{SPACE_CLASS}++)++", " ")
-    rest = F.regexp_replace(plain, f"{SPACE_CLASS}++", " ")
-    return F.trim(F.regexp_replace(F.concat(text, rest), " {2,}", " "))
+    return let(_without_blocks(_without_blocks(F.coalesce(html, F.lit("")), "script"), "style"), _without_tags)
 
 
 def normalize_name(name: Column) -> Column:

@@ -232,13 +232,13 @@ def _description() -> Column:
 
 
 # Facts stated in the page text of a posting, matched without regard to case. Each entry is a regular
-# expression and the words of which it needs at least one.
+# expression, the words of which a match holds at least one, and how many characters of it may stand before the word.
 META_FACTS = {
     "employment_type": (
-        r"(Повна зайнятість|Неповна зайнятість|Стажування|Часткова зайнятість)", ("зайнятість", "Стажування"),
+        r"(Повна зайнятість|Неповна зайнятість|Стажування|Часткова зайнятість)", ("зайнятість", "Стажування"), 10,
     ),
     "experience_text": (r"(Досвід роботи від\s+\d+\s+рок(?:ів|и|у))", ("Досвід роботи від",)),
-    "education_text": (r"(Вища освіта|Незакінчена вища освіта|Середня спеціальна освіта)", ("освіта",)),
+    "education_text": (r"(Вища освіта|Незакінчена вища освіта|Середня спеціальна освіта)", ("освіта",), 19),
     "location": (
         r"(Дистанційна робота|Віддалена робота|Гібридний формат роботи)",
         ("Дистанційна робота", "Віддалена робота", "Гібридний формат роботи"),
@@ -254,23 +254,29 @@ DOU_DATE_REGEX = r"(\d{1,2}\s+[а-яіїєґA-Za-z]+\s+\d{4})"
 DOU_COMPANY_SUFFIX = "Всі вакансії компанії"
 
 
-def _search(text: Column, regex: str, words: Sequence[str]) -> Column:
+def _search(text: Column, lowered: Column, regex: str, words: Sequence[str], lead: int = 0) -> Column:
     """First match in any case, white space collapsed; '' without one.
 
-    The text is searched for the words first, on its bytes; the case-blind expression runs only where one occurs.
+    A match holds one of the words, with at most ``lead`` characters before it. The words are searched on the bytes of the
+    lowered text; the case-blind expression runs only where one occurs, and from that place on.
     """
-    lowered = F.lower(text)
-    possible = reduce(lambda a, b: a | b, [lowered.contains(w.lower()) for w in words])
-    return F.when(possible, collapse_space(F.regexp_extract(text, "(?iuU)" + regex, 1))).otherwise("")
+    held = [lowered.contains(w.lower()) for w in words]
+    places = [F.when(h, F.instr(lowered, w.lower())) for h, w in zip(held, words, strict=True)]
+    first = F.least(*places) if len(places) > 1 else places[0]
+    # the places are those of the lowered text: the same ones, unless a character has a longer lower-case form
+    start = F.when(F.length(lowered) == F.length(text), F.greatest(first - lead, F.lit(1))).otherwise(1)
+    match = collapse_space(F.regexp_extract(F.substr(text, start), "(?iuU)" + regex, 1))
+    return F.when(reduce(lambda a, b: a | b, held), match).otherwise("")
 
 
-def _place(text: Column, places: Sequence[str]) -> Column:
-    return _search(text, f"({'|'.join(places)})", places)
+def _place(text: Column, lowered: Column, places: Sequence[str]) -> Column:
+    return _search(text, lowered, f"({'|'.join(places)})", places)
 
 
-def meta_regex_fields(page_text: Column) -> dict[str, Column]:
+def meta_regex_fields(page_text: Column, lowered: Column | None = None) -> dict[str, Column]:
     """Employment type, experience, education and work format stated in a page text; '' where not stated."""
-    return {name: _search(page_text, *fact) for name, fact in META_FACTS.items()}
+    lowered = F.lower(page_text) if lowered is None else lowered
+    return {name: _search(page_text, lowered, *fact) for name, fact in META_FACTS.items()}
 
 
 def extract_detail_workua(pages: DataFrame) -> DataFrame:
@@ -287,15 +293,18 @@ def extract_detail_workua(pages: DataFrame) -> DataFrame:
         ),
         "paragraphs": replace(PARAGRAPHS, unless="descriptions"),
     }
+    # the text and its lower-case form are each made once and then read as columns
     found = extract_fields(pages, fields).withColumn("page_text", html_to_text(F.col("html")))
-    meta = meta_regex_fields(F.col("page_text"))
-    location = _or_else(meta["location"], _place(F.col("page_text"), WORKUA_PLACES))
+    found = found.withColumn("_lowered", F.lower("page_text"))
+    text, lowered = F.col("page_text"), F.col("_lowered")
+    meta = meta_regex_fields(text, lowered)
+    location = _or_else(meta["location"], _place(text, lowered, WORKUA_PLACES))
     return found.select(
         "job_id", "job_url",
         first_value(F.col("title")).alias("title"),
         first_value(F.col("company")).alias("company"),
         location.alias("location"),
-        _search(F.col("page_text"), *WORKUA_DATE).alias("published_text"),
+        _search(text, lowered, *WORKUA_DATE).alias("published_text"),
         *[meta[c].alias(c) for c in ("employment_type", "experience_text", "education_text")],
         _description().alias("description_full"),
         "page_text",
@@ -322,12 +331,12 @@ def extract_detail_dou(pages: DataFrame) -> DataFrame:
     named = F.trim(F.regexp_replace(first_value(F.col("company")), rf"(?iu) {DOU_COMPANY_SUFFIX}.*$", ""))
     linked = F.trim(F.replace(first_value(F.col("company_link")), F.lit(DOU_COMPANY_SUFFIX), F.lit("")))
     location, published = first_value(F.col("location")), first_value(F.col("published_text"))
-    page_head = F.substring("page_text", 1, DOU_LOCATION_HEAD_CHARS)
+    head = F.substring("page_text", 1, DOU_LOCATION_HEAD_CHARS)
     return found.select(
         "job_id", "job_url",
         first_value(F.col("title")).alias("title"),
         _or_else(named, linked).alias("company"),
-        _or_else(location, _place(page_head, DOU_PLACES)).alias("location"),
+        _or_else(location, _place(head, F.lower(head), DOU_PLACES)).alias("location"),
         _or_else(published, collapse_space(F.regexp_extract("page_text", "(?U)" + DOU_DATE_REGEX, 1))).alias("published_text"),
         _description().alias("description_full"),
         "page_text",

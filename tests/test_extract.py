@@ -183,3 +183,15 @@ def test_candidates_by_length_and_unless(spark):
 def test_many_unclosed_tags_stay_fast():
     page = Page("<b>x</i>" * 20_000 + "<p>y</p>")
     assert page.text(page.select("p")[0]) == "y" and len(page.tags) == 20_001
+
+
+def test_facts_are_found_from_their_first_word_on(spark):
+    texts = {
+        "experience_text": ("досвід роботи від рік, Досвід  роботи від 3 роки", ""),
+        "education_text": ("освіта потім середня спеціальна освіта", "середня спеціальна освіта"),
+        "employment_type": ("İ" * 30 + "ЧАСТКОВА ЗАЙНЯТІСТЬ", "ЧАСТКОВА ЗАЙНЯТІСТЬ"),
+        "location": ("x" * 5000 + " гібридний формат роботи та віддалена робота", "гібридний формат роботи"),
+    }
+    for name, (text, found) in texts.items():
+        df = spark.createDataFrame([(text,)], "page_text string")
+        assert df.select(extract.meta_regex_fields(F.col("page_text"))[name]).head()[0] == found, name

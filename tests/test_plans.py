@@ -39,6 +39,27 @@ def test_each_text_is_lowered_once(spark):
     assert plan.count("lower(text_blob") <= 1
 
 
+def test_page_text_names_the_page_once_and_compiles(spark, sf_dir):
+    from harness.queries import QUERIES
+    from hirelake.functions.text import html_to_text
+
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    one = pages.select(html_to_text(F.col("html")).alias("t"))._jdf.queryExecution().optimizedPlan().toString()
+    assert one.splitlines()[0].count("html") == 1
+    conf = {"spark.sql.codegen.fallback": "false", "spark.sql.codegen.factoryMode": "CODEGEN_ONLY"}
+    for key, value in conf.items():
+        spark.conf.set(key, value)  # generated code that does not compile raises
+    try:
+        for name in ("q_html_to_text", "q_html_to_text_broken", "q_description_fallback", "q_detail_a_roundtrip", "q_detail_b_roundtrip"):
+            df = QUERIES[name](spark, sf_dir)
+            plan = df._jdf.queryExecution().optimizedPlan().toString()
+            assert plan.count("html#") <= 10 and plan.count("<script(") <= 2, name
+            df.write.format("noop").mode("overwrite").save()
+    finally:
+        for key in conf:
+            spark.conf.unset(key)
+
+
 def test_marts_read_only_their_columns(spark, sf_dir, tmp_path):
     gold.deduped(views.postings(spark, sf_dir)).write.parquet(f"{tmp_path}/d")
     marts = gold.marts(spark.read.parquet(f"{tmp_path}/d"))
