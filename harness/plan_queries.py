@@ -125,7 +125,7 @@ def q_silver_day(spark, sf_dir):
         day = views.silver(spark, sf_dir, "workua").withColumn("dt", F.expr(_POSTED))
         tables.write_silver_day(day, path, "2026-03-16")
     columns = [F.col("dt").cast("string").alias("dt"), "posting_dt", "source_job_uid", "job_url", "title"]
-    stored = spark.read.parquet(path).select(F.lit("stored").alias("kind"), *columns)
+    stored = tables.read_days(spark, path).select(F.lit("stored").alias("kind"), *columns)
     fed = tables.scan_clean(spark, path, "2026-03-16").withColumn("posting_dt", F.lit(None).cast("string"))
     return stored.unionByName(fed.select(F.lit("warehouse").alias("kind"), *columns))
 

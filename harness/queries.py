@@ -380,19 +380,23 @@ def q_upsert_by_key(spark, sf_dir):
     return incremental.upsert_by_key(old, new, "source_job_uid")
 
 
+_BATCHES = {"early": "< '2026-03-15'", "mid": "= '2026-03-15'", "late": ">= '2026-03-16'"}
+
+
 @query(
     o.sql(
-        [*_VERSIONS, f"old AS (SELECT * FROM v WHERE dt < '2026-03-16' {_LATEST_V})",
-         f"new AS (SELECT * FROM v WHERE dt >= '2026-03-16' {_LATEST_V})"],
-        "SELECT * FROM old WHERE source_job_uid NOT IN (SELECT source_job_uid FROM new) UNION ALL SELECT * FROM new",
+        [*_VERSIONS, *[f"{name} AS (SELECT * FROM v WHERE dt {days} {_LATEST_V})" for name, days in _BATCHES.items()]],
+        """SELECT * FROM late UNION ALL SELECT * FROM mid WHERE source_job_uid NOT IN (SELECT source_job_uid FROM late)
+UNION ALL SELECT * FROM early WHERE source_job_uid NOT IN
+  (SELECT source_job_uid FROM mid UNION ALL SELECT source_job_uid FROM late)""",
     )
 )
 def q_upsert_table(spark, sf_dir):
     """The same replacement in a stored table: three batches, each of which only adds files."""
     versions = _versions(spark, sf_dir)
     path = fresh_dir(spark, "upserted")
-    for days in (F.col("dt") < "2026-03-15", F.col("dt") == "2026-03-15", F.col("dt") >= "2026-03-16"):
-        tables.upsert_table(spark, path, dedup.latest_per_uid(versions.where(days)), "source_job_uid")
+    for days in _BATCHES.values():
+        tables.upsert_table(spark, path, dedup.latest_per_uid(versions.where(f"dt {days}")), "source_job_uid")
     return tables.read_upserted(spark, path)
 
 

@@ -19,7 +19,11 @@ from hirelake.plans.cards import run_cards
 from hirelake.plans.details import DETAIL_SOURCES, run_details
 from hirelake.plans.silver import run_silver
 from hirelake.session import size_to_input, written_once
-from hirelake.sources.tables import append_run_metrics, scan_clean, silver_path
+from hirelake.sources.files import size_of
+from hirelake.sources.lake import day_inputs
+from hirelake.sources.tables import (
+    append_run_metrics, clear_intermediate, clear_table, scan_clean, shown_by_views, silver_path,
+)
 from hirelake.sources.warehouse import write_jdbc_append, write_jdbc_replace
 
 
@@ -57,7 +61,7 @@ def run_gold(spark: SparkSession, params: RunParams) -> dict[str, DataFrame]:
 def run_day(spark: SparkSession, params: RunParams, *, parse: bool = False) -> dict[str, DataFrame]:
     """Silver and gold of a day; with ``parse`` its raw result pages and posting pages first."""
     if not spark.sparkContext.getConf().contains("spark.sql.shuffle.partitions"):  # nobody has stated sizes
-        size_to_input(spark, *[f"{params.bronze}/jobs/source={s}" for s in rules.SOURCES])
+        size_to_input(spark, size_of(spark, *[g for s in rules.SOURCES for g in day_inputs(params.bronze, s, params.dt)]))
     for source in rules.SOURCES if parse else ():
         run_cards(spark, params, source)
         if source in DETAIL_SOURCES:
@@ -65,3 +69,14 @@ def run_day(spark: SparkSession, params: RunParams, *, parse: bool = False) -> d
     for source in rules.SOURCES:
         run_silver(spark, params, source)
     return run_gold(spark, params)
+
+
+def run_clear(spark: SparkSession, params: RunParams, keep_days: float = 7) -> list[str]:
+    """Delete what no name has shown for so many days: old versions of days, compacted batches, intermediate tables.
+
+    A state that was current within that time is kept whole, so the days must exceed the longest run and reader.
+    """
+    keep, texts = keep_days * 86_400, shown_by_views(spark, params.catalog)
+    paths = [silver_path(params.silver, s) for s in rules.SOURCES] + [f"{params.gold}/staging/{s}" for s in rules.SOURCES]
+    gone = [f"{path}/{name}" for path in paths for name in clear_table(spark, path, keep, texts)]
+    return gone + clear_intermediate(spark, keep, texts)

@@ -27,9 +27,8 @@ from hirelake.operators.project import (
 )
 from hirelake.params import RunParams
 from hirelake.schemas import CLEAN_COLUMNS
-from hirelake.session import fresh_dir
 from hirelake.sources.lake import has_rows, read_cards, read_details
-from hirelake.sources.tables import promote_replace, scan_clean, silver_path, write_silver_day
+from hirelake.sources.tables import day_folders, promote_replace, scan_clean, silver_path, write_silver_day
 from hirelake.sources.warehouse import promote_in_warehouse, write_jdbc_replace
 
 log = logging.getLogger(__name__)
@@ -122,7 +121,6 @@ def run_silver(spark: SparkSession, params: RunParams, source: str) -> DataFrame
         write_jdbc_replace(stored, params.jdbc, staging)
         promote_in_warehouse(spark, params.jdbc, final, staging)
     if params.catalog:
-        staged = fresh_dir(spark, f"staged-{source}")
-        stored.write.partitionBy("dt").parquet(staged)
-        promote_replace(spark, f"{params.catalog}.{source}_jobs_clean", staged)
+        (day,) = day_folders(spark, path, params.dt)  # the files just stored, not a copy
+        promote_replace(spark, f"{params.catalog}.{source}_jobs_clean", day)
     return stored

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Mapping
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -43,10 +44,17 @@ def build_session(name: str, conf: Mapping[str, str] | None = None) -> SparkSess
 def shared_dir(spark: SparkSession) -> str:
     """The folder for intermediate tables: ``spark.checkpoint.dir`` as the session states it.
 
-    Where it is unset, a folder in the warehouse, which driver and executors share by definition.
+    Where it is unset, a folder in the warehouse. A warehouse on a local disk will do for a local session alone: on a
+    cluster each machine would write to a disk of its own, so there the setting is demanded.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return (configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/_intermediate").rstrip("/")
+    if configured:
+        return configured.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    on_cluster = not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master)
+    if on_cluster and (urlparse(warehouse).scheme or "file") == "file":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{warehouse}/_intermediate"
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
@@ -66,13 +74,7 @@ def written_once(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def input_bytes(spark: SparkSession, *paths: str) -> int:
-    """Bytes of all files below the paths, from their listing; contents are not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths))
-    return files.agg(F.sum("length")).first()[0] or 0
-
-
-def size_to_input(spark: SparkSession, *paths: str) -> None:
-    """Set split and shuffle sizes for the files below the paths."""
-    for key, value in scale_conf(input_bytes(spark, *paths)).items():
+def size_to_input(spark: SparkSession, input_bytes: int) -> None:
+    """Set split and shuffle sizes for an input of so many bytes."""
+    for key, value in scale_conf(input_bytes).items():
         spark.conf.set(key, value)

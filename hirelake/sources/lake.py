@@ -113,6 +113,12 @@ def read_parsed_pages(spark: SparkSession, root: str, source: str) -> DataFrame:
     return reader.json(details_path(root, source), pathGlobFilter="part-*.json")
 
 
+def day_inputs(root: str, source: str, dt: str) -> list[str]:
+    """Where a day's input of a source lies, as patterns: raw pages, cards and details of that day alone."""
+    pages = search_pages_path(root, source, dt).rsplit("/", 1)[0]
+    return [cards_path(root, source, dt), pages, f"{details_path(root, source)}/dt={dt}", raw_details_path(root, source, dt).rsplit("/", 1)[0]]
+
+
 def has_rows(*frames: DataFrame) -> bool:
     """Empty-input guard: false when any frame is empty (each probe stops at its first row)."""
     return all(not df.isEmpty() for df in frames)

@@ -1,13 +1,25 @@
-"""Silver and gold tables: partitioned parquet, staged replacement, keyed upsert, metrics log."""
+"""Silver and gold tables: versioned days, promotion, keyed upsert, retention, metrics log.
+
+Files are never changed once a manifest names them::
+
+    <silver table>/version=<v>/dt=<day>/    a day as one write left it; the manifest names each day's version
+    <upserted table>/batch=<v>/             a batch; the manifest names the batches in order
+"""
 
 from __future__ import annotations
 
+import re
+import time
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelake.operators.project import final_projection
-from hirelake.schemas import CLEAN_COLUMNS
+from hirelake.schemas import CLEAN_COLUMNS, CLEAN_SCHEMA
+from hirelake.session import shared_dir
+from hirelake.sources import files, manifest
 
 
 def silver_path(root: str, source: str) -> str:
@@ -15,30 +27,55 @@ def silver_path(root: str, source: str) -> str:
 
 
 def write_silver_parquet(postings: DataFrame, path: str, *, balance: bool = False) -> None:
-    """Replace the days present in ``postings``; other days stay.
+    """Replace the days present in ``postings``, all in one step; other days stay, and until then so do the old ones.
 
     The write runs as wide as the plan that feeds it. ``balance=True`` adds a rebalancing shuffle by day first, for
     backfills of many days: few files per day, and a day that holds most rows is split over several tasks.
     """
-    rows = final_projection(postings)
+    rows, version = final_projection(postings), manifest.new_version()
     if balance:
         rows = rows.hint("rebalance", "dt")
-    rows.write.mode("overwrite").partitionBy("dt").option("partitionOverwriteMode", "dynamic").parquet(path)
+    rows.write.partitionBy("dt").parquet(f"{path}/version={version}")
+    _show_days(postings.sparkSession, path, version)
 
 
 def write_silver_day(postings: DataFrame, path: str, day: str) -> None:
     """Replace the run day's postings, whatever day their own ``dt`` names (kept as ``posting_dt``); no other day is
     touched and no row is lost."""
-    rows = final_projection(postings).withColumnRenamed("dt", "posting_dt")
-    rows.write.mode("overwrite").parquet(f"{path}/dt={day}")
+    rows, version = final_projection(postings).withColumnRenamed("dt", "posting_dt"), manifest.new_version()
+    rows.write.parquet(f"{path}/version={version}/dt={day}")
+    _show_days(postings.sparkSession, path, version)
+
+
+def _show_days(spark: SparkSession, path: str, version: str) -> None:
+    written = [name for name in files.children(spark, f"{path}/version={version}") if name.startswith("dt=")]
+    manifest.change(spark, path, lambda state: {**state, **dict.fromkeys(written, version)})
+
+
+def day_folders(spark: SparkSession, path: str, dt: str | None = None) -> list[str]:
+    """The folders that make up a silver table, or one of its days."""
+    days = manifest.current(spark, path)
+    return [f"{path}/version={v}/{day}" for day, v in sorted(days.items()) if dt is None or day == f"dt={dt}"]
+
+
+def read_days(spark: SparkSession, path: str, dt: str | None = None) -> DataFrame:
+    """The stored rows of a silver table with their ``dt``; with ``dt`` only that day's folder is listed and read.
+
+    A folder without manifest is read as it is, so files of other writers can be scanned too.
+    """
+    folders = day_folders(spark, path, dt)
+    if folders:
+        rows = spark.read.option("basePath", path).parquet(*folders).drop("version")
+    elif manifest.current(spark, path):
+        rows = spark.createDataFrame([], CLEAN_SCHEMA)
+    else:
+        rows = spark.read.parquet(path)
+    return rows if dt is None else rows.where(F.col("dt").cast("string") == dt)
 
 
 def scan_clean(spark: SparkSession, path: str, dt: str | None = None) -> DataFrame:
     """A silver table with its 19 columns as text; ``dt`` prunes to one day."""
-    rows = spark.read.parquet(path)
-    if dt is not None:
-        rows = rows.where(F.col("dt").cast("string") == dt)
-    return final_projection(rows)
+    return final_projection(read_days(spark, path, dt))
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -54,72 +91,138 @@ def exists(spark: SparkSession, path: str) -> bool:
 def promote_replace(spark: SparkSession, table: str, staged_path: str) -> None:
     """Make staged files the content of a catalog name in one step.
 
-    The name is a view over the files, which may be partitioned or not; replacing it is one change in the catalog, so
-    readers see the old content or the new, and no byte is copied whatever the size. The staged columns must be the 19,
-    in any order, and the path must not be the one that the name shows already.
+    The name is a view over the files: a folder of them, a stored day (``…/dt=<day>``), or a silver table as its manifest
+    shows it now. Replacing it is one change in the catalog, so readers see the old content or the new, and no byte is
+    copied whatever the size. The staged columns must be the 19, in any order (``posting_dt`` may stand beside them),
+    and the path must not be the one that the name shows already.
     """
-    staged = spark.read.parquet(staged_path)
-    if set(staged.columns) != set(CLEAN_COLUMNS):
-        raise ValueError(f"staged columns differ from the table's: {staged.columns}")
-    if staged.isEmpty():
+    folders = day_folders(spark, staged_path) or [staged_path]
+    parts = []
+    for folder in folders:
+        staged = spark.read.parquet(folder)
+        own_day = re.search(r"/dt=([^/]*)/*$", folder) if "dt" not in staged.columns else None
+        columns = {*staged.columns, *(["dt"] if own_day else [])} - {"posting_dt"}
+        if columns != set(CLEAN_COLUMNS):
+            raise ValueError(f"staged columns differ from the table's: {staged.columns}")
+        named = {c: f"CAST({c} AS STRING) AS {c}" for c in CLEAN_COLUMNS}
+        if own_day:
+            day = unquote(own_day.group(1))
+            named["dt"] = "CAST(NULL AS STRING) AS dt" if day == "__HIVE_DEFAULT_PARTITION__" else f"'{day}' AS dt"
+        parts.append(f"SELECT {', '.join(named.values())} FROM parquet.`{folder}`")
+    # enough to see one row of one folder
+    if all(spark.read.parquet(folder).isEmpty() for folder in folders):
         raise ValueError(f"nothing staged at {staged_path}")
-    source = f"parquet.`{staged_path}`"
-    if spark.catalog.tableExists(table):
-        shown = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'View Text'").first()
-        if shown and source in shown["data_type"]:
-            raise ValueError(f"{staged_path} is what {table} shows already; stage to a new path")
-    columns = ", ".join(f"CAST({c} AS STRING) AS {c}" for c in CLEAN_COLUMNS)
-    spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT {columns} FROM {source}")
+    if all(f"parquet.`{folder}`" in _view_text(spark, table) for folder in folders):
+        raise ValueError(f"{staged_path} is what {table} shows already; stage to a new path")
+    spark.sql(f"CREATE OR REPLACE VIEW {table} AS {' UNION ALL '.join(parts)}")
+
+
+def _view_text(spark: SparkSession, name: str) -> str:
+    if not spark.catalog.tableExists(name):
+        return ""
+    row = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'View Text'").first()
+    return row["data_type"] if row else ""
 
 
 # --- keyed upsert: immutable batches ----------------------------------------------------------------------------
-# <path>/data/snapshot=<k>/batch=<n>/   rows of one batch, never changed once committed
-# <path>/commits/                       one row (snapshot, batch, key) per committed batch, one small file each
 
 
-def _committed(spark: SparkSession, path: str) -> tuple[int, list[int], str | None]:
-    """The current snapshot, its batches and the key; a batch without commit (a crashed run) does not exist."""
-    if not exists(spark, f"{path}/commits"):
-        return 0, [], None
-    rows = spark.read.parquet(f"{path}/commits").collect()  # one row per batch of the table's life
-    snapshot = max(r["snapshot"] for r in rows)
-    return snapshot, sorted({r["batch"] for r in rows if r["snapshot"] == snapshot}), rows[0]["key"]
+def upsert_table(spark: SparkSession, path: str, batch: DataFrame, key: str) -> None:
+    """Add a batch whose rows replace all earlier rows of their keys. Writes the batch and nothing else.
 
+    Any number of writers may add batches at a time: each batch is shown, and of one key the batch shown last counts.
+    """
+    _check_key(manifest.current(spark, path), key)
+    name = manifest.new_version()
+    batch.write.parquet(f"{path}/batch={name}")
 
-def _commit(spark: SparkSession, path: str, rows: DataFrame, snapshot: int, batch: int, key: str) -> None:
-    rows.write.mode("overwrite").parquet(f"{path}/data/snapshot={snapshot}/batch={batch}")
-    row = spark.createDataFrame([(snapshot, batch, key)], "snapshot int, batch int, key string")
-    row.coalesce(1).write.mode("append").parquet(f"{path}/commits")
+    def added(state: dict) -> dict:
+        _check_key(state, key)
+        return {"key": key, "batches": [*state.get("batches", []), name]}
 
+    manifest.change(spark, path, added)
 
-def upsert_table(spark: SparkSession, path: str, batch: DataFrame, key: str) -> None:
-    """Add a batch whose rows replace all earlier rows of their keys. Writes the batch and nothing else."""
-    snapshot, batches, known = _committed(spark, path)
-    if known not in (None, key):
-        raise ValueError(f"the table's key is {known}, not {key}")
-    _commit(spark, path, batch, snapshot, max(batches, default=0) + 1, key)
+
+def _check_key(state: dict, key: str) -> None:
+    if state and state["key"] != key:
+        raise ValueError(f"the table's key is {state['key']}, not {key}")
+
+
+def _latest(spark: SparkSession, path: str, state: dict) -> DataFrame:
+    key, batches = state["key"], state["batches"]
+    rows = spark.read.option("basePath", path).parquet(*[f"{path}/batch={b}" for b in batches])
+    if len(batches) == 1:
+        return rows.drop("batch")
+    rows = rows.withColumn("_place", F.array_position(F.array(*map(F.lit, batches)), F.col("batch")))
+    ranked = rows.where(F.col(key).isNotNull()).withColumn("_rank", F.expr(f"rank() OVER (PARTITION BY {key} ORDER BY _place DESC)"))
+    # no key, no replacement: such rows are not the same row, and they meet in no task
+    unkeyed = rows.where(F.col(key).isNull())
+    return ranked.where("_rank = 1").drop("_rank").unionByName(unkeyed).drop("_place", "batch")
 
 
 def read_upserted(spark: SparkSession, path: str) -> DataFrame:
-    """For each key the rows of its latest batch."""
-    snapshot, batches, key = _committed(spark, path)
-    folders = [f"{path}/data/snapshot={snapshot}/batch={n}" for n in batches]
-    rows = spark.read.option("basePath", f"{path}/data").parquet(*folders)
-    if len(batches) > 1:
-        rows = rows.withColumn("_rank", F.expr(f"rank() OVER (PARTITION BY {key} ORDER BY batch DESC)"))
-        rows = rows.where("_rank = 1").drop("_rank")
-    return rows.drop("snapshot", "batch")
+    """For each key the rows of its latest batch, and all rows without key."""
+    return _latest(spark, path, manifest.current(spark, path))
 
 
 def compact_table(spark: SparkSession, path: str) -> None:
-    """Store the current rows as one batch of a new snapshot, which its commit makes current in one step."""
-    snapshot, batches, key = _committed(spark, path)
-    if len(batches) > 1:
-        _commit(spark, path, read_upserted(spark, path), snapshot + 1, 1, key)
+    """Store the current rows as one batch in place of theirs. Batches added meanwhile stay behind it."""
+    state = manifest.current(spark, path)
+    old = state.get("batches", [])
+    if len(old) < 2:
+        return
+    name = manifest.new_version()
+    _latest(spark, path, state).write.parquet(f"{path}/batch={name}")
+
+    def swapped(now: dict) -> dict | None:
+        if now["batches"][: len(old)] != old:
+            return None  # another compaction was first
+        return {**now, "batches": [name, *now["batches"][len(old):]]}
+
+    manifest.change(spark, path, swapped)
 
 
 def stored_batches(spark: SparkSession, path: str) -> int:
-    return len(_committed(spark, path)[1])
+    return len(manifest.current(spark, path).get("batches", []))
+
+
+# --- retention ---------------------------------------------------------------------------------------------------
+
+
+def shown_by_views(spark: SparkSession, database: str | None) -> str:
+    """The texts of all views of a database, in which the folders that they show are named."""
+    if database is None:
+        return ""
+    found = spark.catalog.listTables(database)
+    names = [t.name for t in found if t.tableType == "VIEW" and not t.isTemporary]
+    return "\n".join(_view_text(spark, f"{database}.{n}") for n in names)
+
+
+def clear_table(spark: SparkSession, path: str, keep_seconds: float, view_texts: str = "") -> list[str]:
+    """Delete generations of a silver or upserted table that neither a recent manifest nor a view shows."""
+    named = {n for n in files.children(spark, path) if f"{path}/{n}/" in view_texts or f"{path}/{n}`" in view_texts}
+
+    def shown(state: dict) -> set[str]:
+        if "batches" in state:
+            return {f"batch={b}" for b in state["batches"]}
+        return {f"version={v}" for v in state.values()}
+
+    return manifest.clear(spark, path, shown, keep_seconds, named)
+
+
+def clear_intermediate(spark: SparkSession, keep_seconds: float, view_texts: str = "") -> list[str]:
+    """Delete intermediate tables of the shared folder that are older than that and that no view shows.
+
+    Only names that :func:`~hirelake.session.fresh_dir` makes are touched. ``keep_seconds`` must exceed the longest run.
+    """
+    folder, limit = shared_dir(spark), time.time() - keep_seconds
+    gone = [
+        name for name, changed in files.children(spark, folder).items()
+        if re.fullmatch(r"[a-z0-9_-]+-[0-9a-f]{32}", name) and changed <= limit and f"{folder}/{name}" not in view_texts
+    ]
+    for name in gone:
+        files.delete(spark, f"{folder}/{name}")
+    return gone
 
 
 def materialize(df: DataFrame, name: str, kind: str = "view") -> None:

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from hirelake.params import JdbcTarget, RunParams
 from hirelake.schemas import CLEAN_COLUMNS
-from hirelake.session import fresh_dir, input_bytes, scale_conf, shared_dir, written_once
-from hirelake.sources import lake, tables, warehouse
+from hirelake.session import fresh_dir, scale_conf, shared_dir, written_once
+from hirelake.sources import files, lake, manifest, tables, warehouse
 from tests.test_operators import postings
 
 
@@ -103,7 +103,7 @@ def test_promote_replace(spark, tmp_path):
     tables.promote_replace(spark, "promoted", f"{tmp_path}/v2")
     assert [r.source_job_uid for r in spark.table("promoted").collect()] == ["b"]
     tables.write_silver_parquet(good.withColumn("dt", F.lit("2026-03-14")), f"{tmp_path}/days")
-    tables.promote_replace(spark, "promoted", f"{tmp_path}/days")  # the partitioned layout, dt last
+    tables.promote_replace(spark, "promoted", f"{tmp_path}/days")  # the versioned layout
     assert spark.table("promoted").columns == CLEAN_COLUMNS
     assert [(r.source_job_uid, r.dt) for r in spark.table("promoted").collect()] == [("a", "2026-03-14")]
     tables.promote_replace(spark, "promoted", f"{tmp_path}/v2")
@@ -129,7 +129,7 @@ def test_upsert_table(spark, tmp_path):
     tables.compact_table(spark, path)
     assert before.items() <= files_of(path).items() and tables.stored_batches(spark, path) == 1
     assert sorted(map(tuple, tables.read_upserted(spark, path).collect())) == first
-    batch.write.parquet(f"{path}/data/snapshot=1/batch=2")  # a run that stopped before its commit
+    batch.write.parquet(f"{path}/batch={manifest.new_version()}")  # a run that stopped before its commit
     assert sorted(map(tuple, tables.read_upserted(spark, path).collect())) == first
     with pytest.raises(ValueError, match="key is k"):
         tables.upsert_table(spark, path, batch, "v")
@@ -147,7 +147,102 @@ def test_a_day_keeps_all_its_rows_and_touches_no_other(spark, tmp_path):
     tables.write_silver_day(postings(spark, *mixed), path, "2026-03-15")
     assert sorted(r.source_job_uid for r in tables.scan_clean(spark, path, "2026-03-15").collect()) == ["a", "b", "c"]
     assert [r.source_job_uid for r in tables.scan_clean(spark, path, "2026-03-14").collect()] == ["old"]
-    assert {r.posting_dt for r in spark.read.parquet(path).where("dt = '2026-03-15'").collect()} == {None, "2026-03-14", "2026-03-15"}
+    assert {r.posting_dt for r in tables.read_days(spark, path, "2026-03-15").collect()} == {None, "2026-03-14", "2026-03-15"}
+
+
+def test_a_broken_write_leaves_the_old_day_readable(spark, tmp_path):
+    path = f"{tmp_path}/s"
+    tables.write_silver_day(postings(spark, dict(source_job_uid="old")), path, "2026-03-14")
+    reader = tables.scan_clean(spark, path, "2026-03-14")
+    rows = postings(spark, *[dict(source_job_uid=f"n{i}") for i in range(40)]).repartition(8)
+    broken = rows.withColumn("title", F.expr("IF(source_job_uid = 'n39', raise_error('lost'), title)"))
+    for write in (
+        lambda: tables.write_silver_day(broken, path, "2026-03-14"),
+        lambda: tables.write_silver_parquet(broken.withColumn("dt", F.lit("2026-03-14")), path),
+    ):
+        with pytest.raises(Exception, match="lost"):
+            write()
+        assert [r.source_job_uid for r in tables.scan_clean(spark, path, "2026-03-14").collect()] == ["old"]
+    tables.write_silver_day(rows, path, "2026-03-14")
+    assert tables.scan_clean(spark, path, "2026-03-14").count() == 40
+    assert [r.source_job_uid for r in reader.collect()] == ["old"]  # a reader that began before keeps its files
+
+
+def test_interleaved_writers_lose_no_row(spark, tmp_path, monkeypatch):
+    path = f"{tmp_path}/t"
+    frame = lambda *rows: spark.createDataFrame(rows, "k string, v int")
+    tables.upsert_table(spark, path, frame(("a", 1), (None, 1)), "k")
+    create, others = files.create_absent, [("b", 2), ("c", 3)]
+
+    def late(spark, target, text):
+        """Another writer commits between this one's look at the table and its own commit."""
+        if others:
+            tables_row = others.pop()
+            tables.upsert_table(spark, path, frame(tables_row), "k")
+        return create(spark, target, text)
+
+    monkeypatch.setattr(files, "create_absent", late)
+    tables.upsert_table(spark, path, frame(("a", 9), (None, 9)), "k")
+    monkeypatch.undo()
+    got = sorted(map(tuple, tables.read_upserted(spark, path).collect()), key=repr)
+    assert got == sorted([("a", 9), ("b", 2), ("c", 3), (None, 1), (None, 9)], key=repr)
+
+    def meanwhile(spark, target, text):
+        monkeypatch.undo()
+        tables.upsert_table(spark, path, frame(("b", 7)), "k")
+        return create(spark, target, text)
+
+    monkeypatch.setattr(files, "create_absent", meanwhile)
+    tables.compact_table(spark, path)  # a batch arrives while the others are compacted
+    assert tables.stored_batches(spark, path) == 2
+    got = sorted(map(tuple, tables.read_upserted(spark, path).collect()), key=repr)
+    assert got == sorted([("a", 9), ("b", 7), ("c", 3), (None, 1), (None, 9)], key=repr)
+
+
+def test_writers_at_the_same_time(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    path = f"{tmp_path}/t"
+    write = lambda i: tables.upsert_table(spark, path, spark.createDataFrame([(f"k{i}", i), ("all", i)], "k string, v int"), "k")
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(write, range(12)))
+    assert tables.stored_batches(spark, path) == 12
+    rows = {r.k: r.v for r in tables.read_upserted(spark, path).collect()}
+    last = tables.read_upserted(spark, path).where("k = 'all'").count()
+    assert set(rows) == {f"k{i}" for i in range(12)} | {"all"} and last == 1
+
+
+def test_clear_removes_old_generations_and_no_shown_one(spark, tmp_path):
+    path, upserted = f"{tmp_path}/s", f"{tmp_path}/u"
+    spark.sql("CREATE DATABASE IF NOT EXISTS kept")
+    for uid in ("first", "second", "third"):
+        tables.write_silver_day(postings(spark, dict(source_job_uid=uid)), path, "2026-03-14")
+        if uid == "first":
+            tables.promote_replace(spark, "kept.shown", tables.day_folders(spark, path)[0])
+    for v in (1, 2):
+        tables.upsert_table(spark, upserted, spark.createDataFrame([("a", v)], "k string, v int"), "k")
+    tables.compact_table(spark, upserted)
+    texts = tables.shown_by_views(spark, "kept")
+    assert tables.clear_table(spark, path, 3600, texts) == [] and tables.clear_table(spark, upserted, 3600) == []  # too young
+    assert len(tables.clear_table(spark, path, -1, texts)) == 1  # the second; the first is shown by a name
+    assert len(tables.clear_table(spark, upserted, -1)) == 2
+    assert [r.source_job_uid for r in spark.table("kept.shown").collect()] == ["first"]
+    assert [r.source_job_uid for r in tables.scan_clean(spark, path).collect()] == ["third"]
+    assert [tuple(r) for r in tables.read_upserted(spark, upserted).collect()] == [("a", 2)]
+    tables.promote_replace(spark, "kept.shown", path)
+    assert len(tables.clear_table(spark, path, -1, tables.shown_by_views(spark, "kept"))) == 1
+    assert [r.source_job_uid for r in spark.table("kept.shown").collect()] == ["third"]
+    spark.sql("DROP DATABASE kept CASCADE")
+
+
+def test_clear_removes_old_intermediate_tables(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "shared_dir", lambda spark: str(tmp_path))
+    names = [f"deduped-{'0' * 31}{i}" for i in (1, 2)] + ["someone-elses"]
+    for n in names:
+        os.makedirs(f"{tmp_path}/{n}")
+    assert tables.clear_intermediate(spark, 3600) == []
+    assert tables.clear_intermediate(spark, -1, f"SELECT 1 FROM parquet.`{tmp_path}/{names[0]}`") == [names[1]]
+    assert sorted(os.listdir(tmp_path)) == sorted([names[0], names[2]])
 
 
 def test_malformed_json_raises(spark, tmp_path):
@@ -159,10 +254,45 @@ def test_malformed_json_raises(spark, tmp_path):
         lake.read_cards(spark, str(tmp_path), "dou", "2026-03-14").collect()
 
 
-def test_sizes_from_the_listing(spark, tmp_path):
-    spark.range(1000).repartition(3).write.parquet(f"{tmp_path}/x")
-    listed = sum(os.path.getsize(f"{tmp_path}/x/{f}") for f in os.listdir(f"{tmp_path}/x") if f.startswith("part"))
-    assert input_bytes(spark, f"{tmp_path}/x") == listed
+def test_sizes_come_from_the_days_own_files(spark, tmp_path):
+    def day(dt, kb):
+        put(f"{tmp_path}/jobs/source=dou/dt={dt}/parsed/search_results.json", "x" * 1024 * kb)
+        put(f"{tmp_path}/jobs/source=dou/dt={dt}/raw/search_page_1.html", "x" * 1024)
+        put(f"{tmp_path}/jobs/source=dou/details_raw/dt={dt}/job_1.html", "x" * 1024)
+        put(f"{tmp_path}/jobs/source=dou/details_parsed/dt={dt}/part-1.json", "x" * 1024)
+        put(f"{tmp_path}/jobs/source=workua/query=q/dt={dt}/parsed/search_1.json", "x" * 1024)
+        put(f"{tmp_path}/jobs/source=workua/query=r/dt={dt}/raw/search_page_1.html", "x" * 1024)
+
+    def size():
+        return files.size_of(spark, *[g for s in ("dou", "workua") for g in lake.day_inputs(str(tmp_path), s, "2026-03-14")])
+
+    day("2026-03-14", 2)
+    before = size()
+    assert before == 7 * 1024
+    patterns = lake.day_inputs(str(tmp_path), "dou", "2026-03-14")
+    assert all("dt=2026-03-14" in p for p in patterns)  # nothing above the day is listed
+    for older in ("2026-03-12", "2026-03-13"):
+        day(older, 500)
+    assert size() == before
+    assert files.size_of(spark, f"{tmp_path}/nothing/*") == 0
+
+
+def test_a_local_folder_is_refused_on_a_cluster(spark):
+    class Other:
+        def __init__(self, master, warehouse, configured=None):
+            self.conf = {"spark.sql.warehouse.dir": warehouse, "spark.checkpoint.dir": configured}
+            self.sparkContext = self
+            self.master = master
+
+        def getCheckpointDir(self):
+            return None
+
+    assert shared_dir(Other("local[8]", "/w")) == shared_dir(Other("local", "/w/")) == "/w/_intermediate"
+    assert shared_dir(Other("spark://h:1", "hdfs://n/w")) == "hdfs://n/w/_intermediate"
+    assert shared_dir(Other("yarn", "/w", "hdfs://n/c/")) == "hdfs://n/c"
+    for master, warehouse in (("yarn", "file:/w"), ("local-cluster[2,1,1024]", "/w")):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_dir(Other(master, warehouse))
 
 
 def test_materialize_and_metrics(spark, tmp_path):
