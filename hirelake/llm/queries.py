@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelake.llm import (
-    chat, decontaminate, exact_dedup, language_id, packing, pii, sharding, simhash, toxicity, url_filter,
+    alignment, chat, decontaminate, exact_dedup, language_id, packing, pii, prefix_trie, quality, sharding, simhash, toxicity,
+    url_filter,
 )
 from hirelake.llm.common import table
 from hirelake.llm.oracles import ORACLES
@@ -78,9 +79,21 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_dedup(table(spark, sf_dir, "documents"))
 
 
+def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment(table(spark, sf_dir, "documents"))
+
+
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_decontaminate, op3_pack, op4_chat, op5_shards, op6_url_filter, op7_exact_dedup, op8_pii,
-    op9_language, op10_simhash,
+    op9_language, op10_simhash, op11_align, op12_quality, op13_prefix_trie,
 )}
 
 __all__ = ["ORACLES", "QUERIES"]
