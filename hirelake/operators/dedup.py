@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from hirelake.functions import rules
 from hirelake.functions.text import is_blank, normalize_name
+from hirelake.session import written_once
 
 
 def first_rank(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -22,6 +23,28 @@ def first_rank(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
     return df.withColumn("_rank", F.expr(rank)).where("_rank = 1").drop("_rank")
 
 
+#: Rows (of two ids each) that a broadcast of losing rows may hold.
+BROADCAST_LOSERS = 1_000_000
+#: What names a row of stored files, beside its columns (see :func:`hirelake.sources.tables.with_row_ids`).
+ROW_IDS = ("_file", "_row")
+
+
+def first_rank_of_stored(df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int = BROADCAST_LOSERS) -> DataFrame:
+    """:func:`first_rank` of a frame with ROW_IDS (dropped from the result), ranked by its keys and sort terms alone.
+
+    Only those and the row ids are shuffled. The rows that lose are stored, and where they are few (at most ``limit``,
+    counted) the whole rows are read without them, in place, so no long text is shuffled. Where more rows lose, whole rows are
+    ranked, of which a map task sends one for a key. The rows are the same either way.
+    """
+    columns = dict.fromkeys([*ROW_IDS, *keys, *(term.split()[0] for term in order)])
+    rank = f"row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY {', '.join([*order, *ROW_IDS])})"
+    losers = df.select(*columns).withColumn("_rank", F.expr(rank)).where("_rank > 1").select(*ROW_IDS)
+    losers = written_once(losers, "losers")
+    if losers.limit(limit + 1).count() <= limit:
+        return df.join(F.broadcast(losers), list(ROW_IDS), "left_anti").drop(*ROW_IDS)
+    return first_rank(df, keys, [*order, *ROW_IDS]).drop(*ROW_IDS)
+
+
 def dedup_any_by_key(df: DataFrame, key: str) -> DataFrame:
     """One row per key where any will do: the latest fetched, ties settled by the remaining columns in order."""
     columns = df.columns
@@ -34,9 +57,12 @@ def dedup_first_seen(df: DataFrame, key: str, crawl_order: Sequence[str]) -> Dat
     return first_rank(df, [key], [f"{c} ASC NULLS LAST" for c in crawl_order])
 
 
+_LATEST = (["source_job_uid"], [f"{c} DESC NULLS LAST" for c in ("fetched_at", "dt", "job_url")])
+
+
 def latest_per_uid(df: DataFrame) -> DataFrame:
-    """The newest version of every posting."""
-    return first_rank(df, ["source_job_uid"], [f"{c} DESC NULLS LAST" for c in ("fetched_at", "dt", "job_url")])
+    """The newest version of every posting. Stored rows that carry ROW_IDS are ranked without their long texts."""
+    return (first_rank_of_stored if set(ROW_IDS) <= set(df.columns) else first_rank)(df, *_LATEST)
 
 
 def quality_features(df: DataFrame) -> DataFrame:
@@ -60,7 +86,8 @@ def cross_source_key(company: Column, title: Column, seniority: Column) -> Colum
 
 
 def best_per_cross_source_key(postings: DataFrame) -> DataFrame:
-    """One row per vacancy, the best documented one, with its key as first column."""
+    """One row per vacancy, the best documented one, with its key as first column. Stored rows that carry ROW_IDS are
+    ranked without their long texts."""
     keyed = postings.select(
         cross_source_key(F.col("company"), F.col("title"), F.col("seniority")).alias("cross_source_job_key"), "*"
     )
@@ -72,5 +99,6 @@ def best_per_cross_source_key(postings: DataFrame) -> DataFrame:
         "dt DESC NULLS LAST",
         "source_job_uid DESC NULLS FIRST",
     ]
-    best = first_rank(quality_features(keyed), ["cross_source_job_key"], order)
+    stored = set(ROW_IDS) <= set(postings.columns)
+    best = (first_rank_of_stored if stored else first_rank)(quality_features(keyed), ["cross_source_job_key"], order)
     return best.drop("has_skills", "description_len", "source_priority")

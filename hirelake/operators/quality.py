@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from datetime import date, datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from hirelake.functions import rules
@@ -47,9 +47,8 @@ def _report(df: DataFrame) -> DataFrame:
 
 def _row_violations(e: Expectation) -> Column:
     column = F.col(e.column)
-    if e.check == "not_null":
-        return F.count_if(column.isNull())
-    return F.count_if(column.isNotNull() & ~column.isin(*e.values))
+    wrong = column.isNull() if e.check == "not_null" else column.isNotNull() & ~column.isin(*e.values)
+    return F.count(F.when(wrong, 1))
 
 
 def _row_checks(df: DataFrame, checks: Sequence[Expectation]) -> DataFrame:
@@ -99,6 +98,36 @@ def run_expectations(df: DataFrame, expectations: Sequence[Expectation]) -> Data
     return _report(reduce(DataFrame.unionByName, parts))
 
 
+class Observed:
+    """Expectations of a frame, checked while the frame is written or read for something else.
+
+    Row-wise expectations are aggregates that the same pass computes: read ``frame`` in place of the frame, run the action, then
+    ask for the ``report``. Uniqueness needs a grouping of its own and stays with :func:`run_expectations`. A task that
+    runs again after a lost executor may count its rows twice, so ``failed`` is exact where it is 0 and else a lower
+    bound of the work to do; figures that must be exact are not taken from here.
+    """
+
+    def __init__(self, df: DataFrame, expectations: Sequence[Expectation], **more: Column):
+        self.expectations = [e for e in expectations if e.check != "unique"]
+        self._observation, self._spark = Observation(), df.sparkSession
+        counts = [_row_violations(e).alias(f"_{i}") for i, e in enumerate(self.expectations)]
+        self.frame = df.observe(self._observation, *counts, *[c.alias(name) for name, c in more.items()])
+
+    def value(self, name: str):
+        """One of the ``more`` aggregates; waits for the action."""
+        return self._observation.get[name]
+
+    def report(self) -> DataFrame:
+        """(check_name, column_name, severity, failed, ok), as :func:`run_expectations` gives it; waits for the action."""
+        found = self._observation.get
+        rows = [(e.check, e.column, e.severity, found[f"_{i}"]) for i, e in enumerate(self.expectations)]
+        return _report(self._spark.createDataFrame(rows, "check_name string, column_name string, severity string, failed long"))
+
+
+def unique_only(expectations: Sequence[Expectation]) -> list[Expectation]:
+    return [e for e in expectations if e.check == "unique"]
+
+
 def expect_relationship(
     child: DataFrame, child_key: str, parent: DataFrame, parent_key: str, severity: str = "warn"
 ) -> DataFrame:
@@ -160,6 +189,32 @@ def check_ratio_max(postings: DataFrame, limit: float = 0.80) -> DataFrame:
     )
 
 
+def checked_metrics(metrics: DataFrame, limit: float = 0.80) -> DataFrame:
+    """Check the rows of :func:`run_metrics`: raise where a table has no rows; report the ratios as :func:`check_ratio_max`.
+
+    Nothing but the metrics is read, one row a metric.
+    """
+    empty = metrics.where("metric_name = 'row_count' AND metric_value = 0").orderBy("layer_name", "source_name").collect()
+    if empty:
+        raise QualityError("; ".join(f"{r['source_name']} ({r['layer_name']}) is empty" for r in empty))
+    cap = F.lit(str(limit)).cast("decimal(38,18)")
+    return metrics.where("layer_name = 'quality'").select(
+        F.col("metric_name").alias("check_name"), F.col("metric_value").alias("ratio"), cap.alias("max_ratio"),
+        F.coalesce(F.col("metric_value") <= cap, F.lit(False)).alias("ok"))
+
+
+def freshness_status(age_seconds: int | None, warn_days: int = 2, error_days: int = 3) -> str:
+    """``pass``, ``warn`` or ``error`` for the age of the newest row; ``error`` too when nothing is loaded."""
+    if age_seconds is None or age_seconds > error_days * 86_400:
+        return "error"
+    return "warn" if age_seconds > warn_days * 86_400 else "pass"
+
+
+def loaded_until(column: str = "fetched_at") -> Column:
+    """Aggregate: the newest load in seconds since 1970, null when nothing is loaded; counting a row twice changes nothing."""
+    return F.max(F.unix_seconds(F.try_to_timestamp(F.col(column))))
+
+
 def freshness(df: DataFrame, now: datetime, column: str = "fetched_at", warn_days: int = 2, error_days: int = 3) -> DataFrame:
     """One row (max_loaded_at, age_seconds, status); status is pass, warn or error, error too when nothing is loaded."""
     newest = df.agg(F.max(F.try_to_timestamp(F.col(column))).alias("max_loaded_at"))

@@ -7,12 +7,13 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from hirelake.functions import rules
-from hirelake.operators.dedup import best_per_cross_source_key, latest_per_uid
+from hirelake.operators.dedup import ROW_IDS, best_per_cross_source_key, latest_per_uid
 from hirelake.operators.incremental import incremental_filter
 from hirelake.operators.joins import union_sources
 from hirelake.operators.marts import category_share, order_by_count_then_key, skill_demand, source_coverage
 from hirelake.operators.project import final_projection
 from hirelake.operators.quality import Expectation, expect_accepted_values, expect_not_null, expect_unique
+from hirelake.schemas import CLEAN_COLUMNS
 from hirelake.sources.tables import compact_table, read_upserted, stored_batches, upsert_table
 
 
@@ -23,12 +24,13 @@ COMPACT_AFTER = 30
 def stage(spark: SparkSession, clean: DataFrame, path: str, *, inclusive: bool = False) -> DataFrame:
     """Bring new days of a clean table into its staging table, one row per posting."""
     rows = clean
+    own = [c for c in ROW_IDS if c in clean.columns]  # stored rows are ranked without their long texts
     batches = stored_batches(spark, path)
     if batches >= COMPACT_AFTER:
         compact_table(spark, path)
     if batches:
         rows = incremental_filter(clean, read_upserted(spark, path), inclusive=inclusive)
-    upsert_table(spark, path, latest_per_uid(final_projection(rows)), "source_job_uid")
+    upsert_table(spark, path, latest_per_uid(final_projection(rows, [*CLEAN_COLUMNS, *own])), "source_job_uid")
     return final_projection(read_upserted(spark, path))
 
 

@@ -73,9 +73,17 @@ def read_days(spark: SparkSession, path: str, dt: str | None = None) -> DataFram
     return rows if dt is None else rows.where(F.col("dt").cast("string") == dt)
 
 
-def scan_clean(spark: SparkSession, path: str, dt: str | None = None) -> DataFrame:
-    """A silver table with its 19 columns as text; ``dt`` prunes to one day."""
-    return final_projection(read_days(spark, path, dt))
+def scan_clean(spark: SparkSession, path: str, dt: str | None = None, *, row_ids: bool = False) -> DataFrame:
+    """A silver table with its 19 columns as text; ``dt`` prunes to one day, ``row_ids`` names each row by file and number."""
+    rows = read_days(spark, path, dt)
+    if not row_ids:
+        return final_projection(rows)
+    return final_projection(with_row_ids(rows), [*CLEAN_COLUMNS, "_file", "_row"])
+
+
+def with_row_ids(rows: DataFrame) -> DataFrame:
+    """Rows read from parquet files with the file and the number that name each (``dedup.ROW_IDS``)."""
+    return rows.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -148,9 +156,11 @@ def _check_key(state: dict, key: str) -> None:
         raise ValueError(f"the table's key is {state['key']}, not {key}")
 
 
-def _latest(spark: SparkSession, path: str, state: dict) -> DataFrame:
+def _latest(spark: SparkSession, path: str, state: dict, row_ids: bool = False) -> DataFrame:
     key, batches = state["key"], state["batches"]
     rows = spark.read.option("basePath", path).parquet(*[f"{path}/batch={b}" for b in batches])
+    if row_ids:
+        rows = with_row_ids(rows)
     if len(batches) == 1:
         return rows.drop("batch")
     rows = rows.withColumn("_place", F.array_position(F.array(*map(F.lit, batches)), F.col("batch")))
@@ -160,9 +170,9 @@ def _latest(spark: SparkSession, path: str, state: dict) -> DataFrame:
     return ranked.where("_rank = 1").drop("_rank").unionByName(unkeyed).drop("_place", "batch")
 
 
-def read_upserted(spark: SparkSession, path: str) -> DataFrame:
-    """For each key the rows of its latest batch, and all rows without key."""
-    return _latest(spark, path, manifest.current(spark, path))
+def read_upserted(spark: SparkSession, path: str, *, row_ids: bool = False) -> DataFrame:
+    """For each key the rows of its latest batch, and all rows without key; ``row_ids`` names each row by file and number."""
+    return _latest(spark, path, manifest.current(spark, path), row_ids)
 
 
 def compact_table(spark: SparkSession, path: str) -> None:

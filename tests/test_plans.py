@@ -233,3 +233,91 @@ def test_failed_check_stops_the_day(spark, tmp_path):
     with pytest.raises(QualityError, match="unknown_seniority_ratio"):
         run_day(spark, params)
     assert not tables.exists(spark, f"{params.gold}/run_metrics")
+
+
+def test_row_wise_checks_add_no_scan(spark, sf_dir, tmp_path):
+    from hirelake.operators.quality import Observed, run_expectations, unique_only
+
+    views.silver(spark, sf_dir, "dou").write.parquet(f"{tmp_path}/in")
+    stored = spark.read.parquet(f"{tmp_path}/in")
+    checks = gold.staging_expectations("ithub")  # the wrong source, so one check fails on all rows
+    expected = sorted(map(tuple, run_expectations(stored, [c for c in checks if c.check != "unique"]).collect()))
+    watched = Observed(stored, checks)
+    plan = plan_of(watched.frame)
+    assert plan.count("FileScan") == 1 and "CollectMetrics" in plan and "Exchange" not in plan
+    watched.frame.write.parquet(f"{tmp_path}/out")
+    report = sorted(map(tuple, watched.report().collect()))
+    assert report == expected and any(r[3] == stored.count() for r in report)
+    assert spark.read.parquet(f"{tmp_path}/out").count() == stored.count()
+    assert all(c.check == "unique" for c in unique_only(checks))
+
+
+def test_ratios_and_counts_are_read_from_the_metrics(spark, sf_dir):
+    from datetime import date
+
+    from hirelake.operators.quality import check_ratio_max, checked_metrics, run_metrics
+
+    rows = views.postings(spark, sf_dir)
+    metrics = run_metrics({"dou": rows}, rows, date(2026, 3, 14), "r")
+    columns = ["check_name", "ratio", "max_ratio", "ok"]
+    assert sorted(map(tuple, checked_metrics(metrics, 0.05).select(*columns).collect())) == sorted(
+        map(tuple, check_ratio_max(rows, 0.05).select(*columns).collect()))
+    empty = run_metrics({"dou": rows.limit(0)}, rows, date(2026, 3, 14), "r")
+    with pytest.raises(QualityError, match="dou"):
+        checked_metrics(empty)
+
+
+def test_stale_postings_are_reported(spark, tmp_path, caplog):
+    params = params_for(tmp_path, RUN_DATE="2026-03-17")
+    lake_of_one_day(params.bronze)
+    parse_raw(spark, params)
+    with caplog.at_level("WARNING", logger="hirelake.plans.daily"):
+        run_day(spark, params)
+    assert "freshness of postings on 2026-03-14: error" in caplog.text
+
+
+def shuffled_bytes(spark, make):
+    """Result rows, and the bytes of all shuffles behind them, as the executed plans count them."""
+    frame = make()
+    rows = sorted(map(repr, frame.collect()))
+    plan = frame._jdf.queryExecution().executedPlan()
+    total, pending = 0, [plan]
+    while pending:
+        node = pending.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            pending.append(node.executedPlan())
+        elif name.endswith("QueryStage"):
+            pending.append(node.plan())
+        else:
+            if name == "Exchange":
+                total += node.metrics().apply("dataSize").value()
+            children = node.children()
+            pending += [children.apply(i) for i in range(children.size())]
+    return rows, total
+
+
+@pytest.mark.parametrize("repeats", [1, 20])
+def test_long_texts_are_not_shuffled_to_rank_stored_rows(spark, tmp_path, repeats, monkeypatch):
+    from hirelake.operators import dedup
+
+    long = F.concat_ws(" ", *[F.md5(F.concat("id", F.lit(i)).cast("string")) for i in range(60)])
+    uid = F.concat(F.lit("dou::"), (F.col("id") / repeats).cast("int").cast("string"))
+    rows = spark.range(2000).select("id", *[
+        {"source_job_uid": uid, "page_text": long, "fetched_at": F.lpad((F.col("id") % 97).cast("string"), 2, "0"),
+         "company": uid, "title": uid}.get(c, F.lit("x")).alias(c) for c in CLEAN_COLUMNS]).drop("id")
+    path = f"{tmp_path}/s"
+    tables.write_silver_parquet(rows, path)
+    losing, writes = [], dedup.written_once
+    monkeypatch.setattr(dedup, "written_once", lambda df, label: losing.append(df) or writes(df, label))
+    for operator in (dedup.latest_per_uid, dedup.best_per_cross_source_key):
+        losing.clear()
+        plain, whole = shuffled_bytes(spark, lambda: operator(tables.scan_clean(spark, path)))
+        late, narrow = shuffled_bytes(spark, lambda: operator(tables.scan_clean(spark, path, row_ids=True)))
+        narrow += shuffled_bytes(spark, lambda: losing[0])[1]
+        assert late == plain
+        assert narrow < whole / 2, (operator.__name__, narrow, whole)
+    ranked = tables.scan_clean(spark, path, row_ids=True)
+    few = dedup.first_rank_of_stored(ranked, *dedup._LATEST)
+    many = dedup.first_rank_of_stored(ranked, *dedup._LATEST, limit=0)  # more rows lose than a broadcast may hold
+    assert sorted(map(repr, few.collect())) == sorted(map(repr, many.collect()))
