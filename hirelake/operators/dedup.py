@@ -23,26 +23,33 @@ def first_rank(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
     return df.withColumn("_rank", F.expr(rank)).where("_rank = 1").drop("_rank")
 
 
-#: Rows (of two ids each) that a broadcast of losing rows may hold.
-BROADCAST_LOSERS = 1_000_000
+#: Row ids (a path and a number each, some 200 bytes) that a broadcast may hold.
+BROADCAST_ROWS = 200_000
 #: What names a row of stored files, beside its columns (see :func:`hirelake.sources.tables.with_row_ids`).
 ROW_IDS = ("_file", "_row")
 
 
-def first_rank_of_stored(df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int = BROADCAST_LOSERS) -> DataFrame:
+def first_rank_of_stored(df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int = BROADCAST_ROWS) -> DataFrame:
     """:func:`first_rank` of a frame with ROW_IDS (dropped from the result), ranked by its keys and sort terms alone.
 
-    Only those and the row ids are shuffled. The rows that lose are stored, and where they are few (at most ``limit``,
-    counted) the whole rows are read without them, in place, so no long text is shuffled. Where more rows lose, whole rows are
-    ranked, of which a map task sends one for a key. The rows are the same either way.
+    Only those and the row ids are shuffled, of which a map task sends one row a key. The ids of the first rows are stored and
+    counted. Where the first rows, or else the other ones, are at most ``limit``, the whole rows are then picked where they
+    are read, and no long text is shuffled. Beyond that whole rows are ranked. The rows are the same in each way.
     """
-    columns = dict.fromkeys([*ROW_IDS, *keys, *(term.split()[0] for term in order)])
-    rank = f"row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY {', '.join([*order, *ROW_IDS])})"
-    losers = df.select(*columns).withColumn("_rank", F.expr(rank)).where("_rank > 1").select(*ROW_IDS)
-    losers = written_once(losers, "losers")
-    if losers.limit(limit + 1).count() <= limit:
-        return df.join(F.broadcast(losers), list(ROW_IDS), "left_anti").drop(*ROW_IDS)
-    return first_rank(df, keys, [*order, *ROW_IDS]).drop(*ROW_IDS)
+    narrow = df.select(*dict.fromkeys([*ROW_IDS, *keys, *(term.split()[0] for term in order)]))
+    order, ids = [*order, *ROW_IDS], list(ROW_IDS)
+    winners = written_once(first_rank(narrow, keys, order).select(*ids), "winners")
+    won = winners.count()
+    if won <= limit:
+        return df.join(F.broadcast(winners), ids, "left_semi").drop(*ids)
+    lost = df.count() - won
+    if lost == 0:
+        return df.drop(*ids)
+    if lost <= limit:
+        rank = f"row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY {', '.join(order)})"
+        losers = narrow.withColumn("_rank", F.expr(rank)).where("_rank > 1").select(*ids)
+        return df.join(F.broadcast(losers), ids, "left_anti").drop(*ids)
+    return first_rank(df, keys, order).drop(*ids)
 
 
 def dedup_any_by_key(df: DataFrame, key: str) -> DataFrame:

@@ -318,6 +318,5 @@ def test_long_texts_are_not_shuffled_to_rank_stored_rows(spark, tmp_path, repeat
         assert late == plain
         assert narrow < whole / 2, (operator.__name__, narrow, whole)
     ranked = tables.scan_clean(spark, path, row_ids=True)
-    few = dedup.first_rank_of_stored(ranked, *dedup._LATEST)
-    many = dedup.first_rank_of_stored(ranked, *dedup._LATEST, limit=0)  # more rows lose than a broadcast may hold
-    assert sorted(map(repr, few.collect())) == sorted(map(repr, many.collect()))
+    ways = [sorted(map(repr, dedup.first_rank_of_stored(ranked, *dedup._LATEST, limit=n).collect())) for n in (2000, 1999, 0)]
+    assert ways[0] == ways[1] == ways[2]  # by the first rows, by the others, and by ranking whole rows
