@@ -193,8 +193,11 @@ def packed_group(sizes: list[int], capacity: int) -> list[list[int]]:
 # --- the operator -----------------------------------------------------------------------------------------------
 
 
-def _round(number: int, capacity: int, final: bool):
-    """Packs a task's rows in groups; pieces of underfull bins keep a null sequence unless the round is the last."""
+def _round(capacity: int, final: bool):
+    """Packs a task's rows in groups; pieces of underfull bins keep a null sequence unless the round is the last.
+
+    Sequences are numbered within the round, by task.
+    """
 
     def pack(batches: Iterator[pa.RecordBatch]):
         task, made = TaskContext.get().partitionId(), 0
@@ -210,7 +213,7 @@ def _round(number: int, capacity: int, final: bool):
                 at = 0
                 for i in own:
                     order.append(i)
-                    sequence.append((number << 57) | (task << 33) | made if closed else None)
+                    sequence.append((task << 33) | made if closed else None)
                     offset.append(at if closed else None)
                     at += sizes[i]
                 made += closed
@@ -236,11 +239,13 @@ def _round(number: int, capacity: int, final: bool):
 
 def pack(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Pieces with ``sequence_id`` and ``offset`` (gapless from 0 in each sequence); lengths must be 1 to capacity."""
-    done, number = None, 0
+    done, first = None, 0
     rest, left, last = rows.select("doc_id", "piece", "start", "length", "ids_crc32"), None, False
     while True:
-        result = written_once(rest.mapInArrow(_round(number, capacity, last), _PACKED), "packed")
+        result = written_once(rest.mapInArrow(_round(capacity, last), _PACKED), "packed")
         closed = result if last else result.where("sequence_id is not null")
+        closed = closed.withColumn("sequence_id", F.col("sequence_id") + F.lit(first).cast("long"))
+        first += (result.agg(F.max("sequence_id")).first()[0] or 0) + 1  # behind all numbers of this round
         done = closed if done is None else done.unionAll(closed)
         if last:
             return done
@@ -249,7 +254,6 @@ def pack(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         # one group at the end, or groups that no longer shrink: what is left has no complement in other groups
         last = left <= GROUP or (before is not None and left > 0.9 * before)
         rest = rest.repartition(max(1, -(-left // GROUP)))
-        number += 1
 
 
 def best_fit_packing(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

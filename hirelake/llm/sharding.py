@@ -11,6 +11,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,7 +21,6 @@ from hirelake.llm.common import spread
 from hirelake.session import written_once
 
 SHARDS = 8
-ROUNDS = 12
 #: Hash buckets in which requests of one gain class are accepted, and powers of two that tell gain classes.
 BUCKETS, CLASSES = 512, 48
 #: Rows that are ranked together, and the least number of such parts.
@@ -67,12 +68,22 @@ def _targets(blocks: DataFrame, free: np.ndarray) -> DataFrame:
         F.floor(F.log2(F.col("best.n").cast("double"))).cast("int").alias("gain"))
 
 
-def propagate(linked: DataFrame, quota: np.ndarray, rounds: int = ROUNDS) -> DataFrame:
-    """``uid, shard`` of linked documents (``uid, digest``), after rounds of moves; stored."""
+def cut_edges(placed: DataFrame) -> DataFrame:
+    """``digest, cut_edges``: a group's links form a chain through its shards, so one less than its shards are cut."""
+    blocks = placed.groupBy("digest", "shard").agg(F.lit(1).alias("one")).groupBy("digest")
+    return blocks.agg((F.count(F.lit(1)) - 1).alias("cut_edges"))
+
+
+def propagate(linked: DataFrame, quota: np.ndarray) -> DataFrame:
+    """``uid, shard`` of linked documents (``uid, digest``), after rounds of moves; stored.
+
+    Rounds end when no document asks to move, or when no request fits into the room that is left. A move joins a block
+    that has more links than its own, so the largest blocks only grow and the rounds come to an end.
+    """
     shards = len(quota)
     state = linked.select("uid", "digest", spread(F.col("uid"), shards).alias("shard"))
     state = written_once(state, "shards")
-    for number in range(rounds):
+    for number in itertools.count():
         blocks = state.groupBy("digest", "shard").agg(F.count(F.lit(1)).alias("n"))
         load = np.zeros(shards, np.int64)
         for shard, n in state.groupBy("shard").count().collect():
@@ -86,7 +97,10 @@ def propagate(linked: DataFrame, quota: np.ndarray, rounds: int = ROUNDS) -> Dat
         asked = wishes.where("target is not null").groupBy("target", "gain", "bucket").count().collect()
         if not asked:
             break
-        through = F.array(*map(F.lit, accepted_buckets(asked, free)))
+        accepted = accepted_buckets([tuple(r) for r in asked], free)
+        if not any(r["bucket"] < accepted[r["target"] * CLASSES + r["gain"]] for r in asked):
+            break
+        through = F.array(*map(F.lit, accepted))
         allowed = F.get(through, F.col("target") * CLASSES + F.col("gain"))
         moves = F.col("target").isNotNull() & (F.col("bucket") < allowed)
         new = wishes.select("uid", "digest", F.when(moves, F.col("target")).otherwise(F.col("shard")).alias("shard"))
@@ -110,10 +124,12 @@ def ranked(rows: DataFrame, keys: int, total: int, key: Column) -> DataFrame:
 def shards(
     docs: DataFrame, number: int = SHARDS, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``doc_id, size, text_crc32, law, shard, slot, grown_shard``, one row per row of ``docs``.
+    """``doc_id, size, text_crc32, law, shard, slot, grown_shard, cut_edges``, one row per row of ``docs``.
 
     The law is ``rows``: shards differ by at most one row. Equal texts are linked and share a shard as far as quotas
-    allow. A null text is an empty one. Repeated rows are documents of their own. An empty table gives no rows.
+    allow; ``cut_edges`` says how many links of the document's group join two shards (0 without links). A null text is
+    an empty one, a very long one counts by its size and travels as a digest. Repeated rows are documents of their own,
+    and other columns, whatever their names, are not read. An empty table gives no rows.
     """
     rows = written_once(documents(docs, id_col, text_col), "shard-documents")
     total = rows.count()
@@ -137,6 +153,9 @@ def shards(
     first = F.get(F.array(*map(F.lit, (np.array([0, *ends[:-1]]) - held).tolist())), F.col("shard"))
     rest = rest.withColumn("shard", shard).withColumn("rank", F.col("rank") - first)
     both = placed.select("uid", "shard", "rank").unionByName(rest.select("uid", "shard", "rank"))
-    return rows.join(both, "uid").select(
+    both = written_once(rows.join(both, "uid"), "shard-rows")
+    cut = written_once(cut_edges(both.where("linked")).where("cut_edges > 0"), "shard-cuts")
+    return both.join(cut, "digest", "left").select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), F.col("shard").cast("int").alias("shard"),
-        F.col("rank").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+        F.col("rank").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
+        F.coalesce("cut_edges", F.lit(0)).cast("long").alias("cut_edges"))

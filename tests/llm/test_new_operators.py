@@ -239,3 +239,57 @@ def test_local_rollup_is_the_subtree_sum():
             for v in range(n - 1, 0, -1):
                 sums[parents[v]] += sums[v]
             assert (prefix_trie.rolled_up(parents, values) == sums).all()
+
+
+# --- PII: what the trees add ----------------------------------------------------------------------------------------
+
+
+def test_trees_add_masked_and_grouped_forms_and_little_else(spark):
+    """Forms that the base does not match, planted in whole documents; grouped numbers that are no phones beside them."""
+    from hirelake.llm import pii
+
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    docs = docs.where("text is not null").orderBy(F.xxhash64("doc_id")).limit(4000).collect()
+    rng = np.random.default_rng(5)
+    ways = [lambda i: f"john.{i} (at) example (dot) com", lambda i: f"anna{i}[at]mail[dot]example[dot]org", lambda i: f"bob{i} [at] example.net",
+            lambda i: f"(212) 555-{1000 + i}", lambda i: f"212-555-{1000 + i}", lambda i: f"415.555.{2000 + i}",
+            lambda i: f"in {1900 + i % 100}-01-15 or 12 345 678", lambda i: f"4{i:03d} 1234 5678 9010"]
+    rows, wanted = [], {}
+    for i, r in enumerate(docs):
+        words = r.text.split(" ")
+        text = r.text
+        if i < 400:
+            at = int(rng.integers(len(words) + 1))
+            form = ways[i % len(ways)](i)
+            start = sum(len(w) + 1 for w in words[:at])
+            text = " ".join([*words[:at], form, *words[at:]])
+            if i % len(ways) < 6:
+                wanted[r.doc_id] = (start, start + len(form))
+        rows.append((r.doc_id, text))
+    found = pii.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    added = [(r.doc_id, s["start"], s["end"]) for r in found for s in r.added]
+    caught = sum((d, *span) in set(added) for d, span in wanted.items())
+    assert caught >= 0.9 * len(wanted)
+    assert sum(wanted.get(d) == (a, b) for d, a, b in added) >= 0.98 * len(added)
+
+
+# --- sharding: rounds end by themselves -----------------------------------------------------------------------------
+
+
+def test_no_request_that_fits_is_open_and_cuts_are_told(spark, make):
+    from hirelake.llm import sharding
+
+    rows = [(i, "big") for i in range(60)] + [(100 + i, f"pair {i // 2}") for i in range(60)] + [(300 + i, f"own {i}") for i in range(40)]
+    out = sharding.shards(make(rows), number=8).collect()
+    groups = {}
+    for r, (doc, text) in zip(sorted(out, key=lambda r: r.doc_id), sorted(rows), strict=True):
+        assert r.doc_id == doc and r.size == len(text) + 1 and r.text_crc32 == zlib.crc32(text.encode())
+        groups.setdefault(text, []).append(r)
+    for text, members in groups.items():
+        cut = len({r.shard for r in members}) - 1
+        assert {r.cut_edges for r in members} == {cut}
+        if text.startswith("pair"):
+            assert cut == 0
+    assert {r.cut_edges for r in groups["big"]} == {2}  # 60 rows, 20 a shard
+    sizes = Counter(r.shard for r in out)
+    assert set(sizes.values()) == {20}
