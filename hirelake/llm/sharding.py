@@ -57,13 +57,18 @@ def accepted_buckets(requests: list, free: np.ndarray) -> list[int]:
 
 
 def _targets(blocks: DataFrame, free: np.ndarray) -> DataFrame:
-    """``digest, shard, target, gain`` for each block that has more links in another shard with room."""
+    """``digest, shard, target, gain`` for each block that has more links in another shard with room.
+
+    Of equal blocks one has the higher rank by hash and the other asks. A block in a full shard asks also those that only
+    equal it: none of them can come to it.
+    """
     room = F.array(*(F.lit(bool(f > 0)) for f in free))
     order = F.struct("n", F.xxhash64("digest", "shard"), "shard")
     open_ = F.when(F.get(room, F.col("shard")), order)
     best = F.max(open_).over(Window.partitionBy("digest"))
     rows = blocks.select("digest", "shard", order.alias("own"), best.alias("best"))
-    return rows.where(F.col("best") > F.col("own")).select(
+    leaves = ~F.get(room, F.col("shard")) & (F.col("best.n") >= F.col("own.n"))
+    return rows.where((F.col("best") > F.col("own")) | leaves).select(
         "digest", "shard", F.col("best.shard").alias("target"),
         F.floor(F.log2(F.col("best.n").cast("double"))).cast("int").alias("gain"))
 

@@ -288,8 +288,17 @@ def test_no_request_that_fits_is_open_and_cuts_are_told(spark, make):
     for text, members in groups.items():
         cut = len({r.shard for r in members}) - 1
         assert {r.cut_edges for r in members} == {cut}
-        if text.startswith("pair"):
-            assert cut == 0
-    assert {r.cut_edges for r in groups["big"]} == {2}  # 60 rows, 20 a shard
+    linked = make([r for r in rows if not r[1].startswith("own")])
+    linked = linked.select(F.col("doc_id").alias("uid"), F.col("text").alias("digest"))
+    quota = np.array([20] * 8)
+    placed = sharding.propagate(linked, quota).collect()
+    free = quota - np.bincount([r.shard for r in placed], minlength=8)
+    blocks = defaultdict(Counter)
+    for r in placed:
+        blocks[dict(rows)[r.uid]][r.shard] += 1
+    for own in blocks.values():
+        for a in own:
+            for b in own:
+                assert a == b or own[b] < own[a] or free[b] <= 1  # a shard with room has called all that fits
     sizes = Counter(r.shard for r in out)
     assert set(sizes.values()) == {20}
