@@ -1,7 +1,8 @@
 """From raw HTML pages to cards and details.
 
 Two generic operators, ``extract_cards`` and ``extract_fields``, find elements by selector; only the ``html``
-column travels to Python, in Arrow batches. Every rule about the found texts (ids, links, fallbacks, what to
+column travels to Python, in Arrow batches that are bounded by bytes as well as by rows (``session.ARROW_BATCHES``,
+which ``build_session`` sets), so that large pages need no more memory than many small ones. Every rule about the found texts (ids, links, fallbacks, what to
 skip) is a native expression on top.
 """
 

@@ -9,10 +9,18 @@ from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: What a batch of pages may hold on its way to Python: a batch ends at either bound, so large pages make short batches.
+#: A page beyond the byte bound is a batch of its own.
+ARROW_BATCHES = {
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(32 << 20),
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+}
+
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    **ARROW_BATCHES,
 }
 
 

@@ -195,3 +195,28 @@ def test_facts_are_found_from_their_first_word_on(spark):
     for name, (text, found) in texts.items():
         df = spark.createDataFrame([(text,)], "page_text string")
         assert df.select(extract.meta_regex_fields(F.col("page_text"))[name]).head()[0] == found, name
+
+
+def test_batches_of_large_pages_are_bounded_by_bytes(spark):
+    """Pages of 1 MB, with a bound of 4 MB: no batch that reaches Python holds more than the bound and one page."""
+    import pyarrow as pa
+
+    from hirelake.session import ARROW_BATCHES, DEFAULTS
+
+    assert ARROW_BATCHES.items() <= DEFAULTS.items()
+    bound = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(bound)
+    spark.conf.set(bound, str(4 << 20))
+
+    @F.arrow_udf("long")
+    def batch_bytes(html: pa.Array) -> pa.Array:
+        return pa.array([html.nbytes] * len(html))
+
+    try:
+        pages = spark.range(0, 40, 1, 1).select(F.concat(F.lit("<h1>T</h1>"), F.repeat(F.lit("x"), 1 << 20)).alias("html"))
+        sizes = [r[0] for r in pages.select(batch_bytes("html")).collect()]
+        assert len(sizes) == 40 and max(sizes) <= 6 << 20
+        found = extract.extract_fields(pages, {"title": extract.element("h1")})
+        assert [r.title for r in found.select("title").collect()] == [["T"]] * 40
+    finally:
+        spark.conf.set(bound, before)
