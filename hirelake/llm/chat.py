@@ -10,7 +10,7 @@ Rows of a conversation are collected as structs and sorted; a conversation becom
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Control strings of the template.
@@ -30,19 +30,20 @@ def unescaped(text: Column) -> Column:
     return F.array_join(F.transform(pieces, plain), "\\")
 
 
-def merged_turns(turns: Column) -> Column:
-    """Sorted ``role, text`` structs as ``role, texts`` structs: adjacent turns of one role are one.
+def turn_begins(turns: Column) -> Column:
+    """Places (from 1) in sorted ``role, text`` structs at which the role changes. Null roles equal each other."""
+    role = lambda i: F.element_at(turns, i)["role"]
+    return F.filter(F.sequence(F.lit(1), F.size(turns)),
+                    lambda i: (i == 1) | ~role(i).eqNullSafe(role(F.greatest(i - 1, F.lit(1)))))
 
-    The places where the role changes bound slices, so the work grows with the number of turns.
-    """
-    n = F.size(turns)
-    # the array is looked at by position; null roles are equal to each other
-    begins = F.filter(F.sequence(F.lit(1), n), lambda i: (i == 1) | ~F.element_at(turns, i)["role"].eqNullSafe(
-        F.element_at(turns, F.greatest(i - 1, F.lit(1)))["role"]))
+
+def merged_turns(turns: Column, begins: Column) -> Column:
+    """``role, texts`` structs: adjacent turns of one role are one. ``begins`` must be a stored column: each turn looks
+    at the next place, so its expression would be computed anew for each turn."""
     return F.transform(begins, lambda b, k: F.struct(
         F.element_at(turns, b)["role"].alias("role"),
-        F.transform(
-            F.slice(turns, b, F.coalesce(F.get(begins, k + 1), n + 1) - b), lambda t: t["text"]).alias("texts")))
+        F.transform(F.slice(turns, b, F.coalesce(F.get(begins, k + 1), F.size(turns) + 1) - b),
+                    lambda t: t["text"]).alias("texts")))
 
 
 def chat_format(
@@ -53,14 +54,16 @@ def chat_format(
 
     Rows follow their turn; ties follow role and text, repeated rows stay. A null text is empty, a null role is an
     empty role and never learned, a null turn comes first. Rows without conversation id are one conversation without
-    id. An empty table gives no rows.
+    id. An empty table gives no rows. Work grows with the turns of a conversation (and their sorting), also in one of
+    very many turns; other columns of ``rows`` are not read and may have any name.
     """
     turns = rows.select(
         rows[conv_col].alias("conv_id"),
         F.struct(rows[turn_col].alias("turn"), F.coalesce(rows[role_col], F.lit("")).alias("role"),
                  F.coalesce(rows[text_col], F.lit("")).alias("text")).alias("t"))
     sorted_ = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
-    merged = sorted_.select("conv_id", merged_turns(F.col("turns")).alias("turns"))
+    begun = sorted_.select("conv_id", "turns", turn_begins(F.col("turns")).alias("begins"))
+    merged = begun.select("conv_id", merged_turns(F.col("turns"), F.col("begins")).alias("turns"))
     # every turn as pieces of text, each learned or not
     piece = lambda text, loss: F.struct(text.alias("text"), loss.alias("loss"))
     no = F.lit(False)
@@ -70,18 +73,19 @@ def chat_format(
             piece(F.when(i > 0, F.lit(PART)).otherwise(F.lit("")), no),
             piece(escaped(x), t["role"].isin(*learned))))),
         F.array(piece(F.lit(CLOSE + END), no))))))
-    out = merged.select("conv_id", pieces.alias("pieces"))
-    spans = F.aggregate(
-        "pieces",
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,length:int>>").alias("spans")),
-        lambda a, p: F.struct(
-            (a["at"] + F.length(p["text"])).alias("at"),
-            F.when(p["loss"], F.concat(a["spans"], F.array(F.struct(
-                a["at"].alias("start"), F.length(p["text"]).alias("length"))))).otherwise(a["spans"]).alias("spans")),
-        lambda a: a["spans"])
+    # a running total over each conversation's pieces places them; rows lie by conversation already, so nothing is shuffled
+    each = merged.select("conv_id", F.posexplode(pieces).alias("k", "piece"))
+    before = Window.partitionBy("conv_id").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
+    chars = F.length("piece.text")
+    at = F.coalesce(F.sum(chars).over(before), F.lit(0)).cast("int")
+    placed = each.select("conv_id", "k", "piece", at.alias("start"), chars.alias("length"))
+    span = F.struct("start", "length")
+    out = placed.groupBy("conv_id").agg(
+        F.sort_array(F.collect_list(F.struct("k", F.col("piece.text").alias("text")))).alias("pieces"),
+        F.sort_array(F.collect_list(F.when(F.col("piece.loss"), F.struct("k", span.alias("span"))))).alias("spans"))
     return out.select(
         "conv_id", F.array_join(F.transform("pieces", lambda p: p["text"]), "").alias("formatted"),
-        spans.alias("loss_spans"))
+        F.transform("spans", lambda s: s["span"]).alias("loss_spans"))
 
 
 def read_back(formatted: Column) -> Column:
@@ -92,13 +96,19 @@ def read_back(formatted: Column) -> Column:
     def parts(turn: Column) -> Column:
         role = F.substring_index(F.substr(turn, F.lit(len(OPEN) + 1)), GAP, 1)
         body = F.substr(turn, F.lit(len(OPEN) + len(GAP) + 1) + F.length(role))
-        return F.transform(F.split(body, PART, -1), lambda x: F.struct(
-            unescaped(role).alias("role"), unescaped(x).alias("text")))
+        # the lambda's variable holds the role, which is read once for all parts
+        return F.flatten(F.transform(F.array(unescaped(role)), lambda r: F.transform(
+            F.split(body, PART, -1), lambda x: F.struct(r.alias("role"), unescaped(x).alias("text")))))
 
     return F.flatten(F.transform(whole, parts))
 
 
+#: Four bytes a code point, so that a span is found by its place without reading what stands before it.
+_WIDE = "UTF-32"
+
+
 def loss_text(formatted: Column, spans: Column) -> Column:
     """All text under the mask, unescaped: each span once, in order."""
-    return F.array_join(
-        F.transform(spans, lambda s: unescaped(F.substr(formatted, s["start"] + 1, s["length"]))), "")
+    cut = lambda wide, s: F.decode(F.substr(wide, 4 * s["start"] + 1, 4 * s["length"]), _WIDE)
+    return F.array_join(F.flatten(F.transform(F.array(F.encode(formatted, _WIDE)), lambda wide: F.transform(
+        spans, lambda s: unescaped(cut(wide, s))))), "")

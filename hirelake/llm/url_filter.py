@@ -1,7 +1,8 @@
 """URL filters by a cascade of Bloom filters: exact verdicts without joining pages and rules.
 
 A rule is a host and a path prefix with an action. The keys that could be listed are, for each page, its host's label
-suffixes with its path's prefixes; together they are the corpus's complete key universe. Level 1 of a cascade encodes the
+suffixes with its path's prefixes, of the label counts and lengths that rules have; together they are the corpus's
+complete key universe. Level 1 of a cascade encodes the
 listed keys; level 2 the keys of the universe that level 1 takes wrongly; level 3 the listed keys that level 2
 takes wrongly; and so on until a level takes nothing wrongly. A key's first refusing level then tells exactly whether it is
 listed, for every key of the universe. One cascade encodes the blocked keys, one the allowed keys.
@@ -51,18 +52,22 @@ def _after(url: Column) -> Column:
     return F.when(at > 0, F.substring(url, at + 3, F.length(url))).otherwise(F.lit(""))
 
 
-def candidate_keys(host: Column, path: Column, lengths: list[int]) -> Column:
-    """Keys that a rule for this url could have: suffixes of whole labels by path prefixes of the given lengths, the
-    longest key first, of equally long ones the longer host."""
-    labels = F.split(host, r"\.", -1)
-    suffixes = F.transform(
-        F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    fitting = F.filter(F.array(*map(F.lit, lengths)).cast("array<int>"), lambda n: n <= F.length(path))
-    pairs = F.flatten(F.transform(suffixes, lambda s: F.transform(fitting, lambda n: F.struct(
-        (F.length(s) + n).alias("size"), F.length(s).alias("host_size"),
-        F.concat_ws(_GAP, s, F.substring(path, F.lit(1), n)).alias("key")))))
-    ordered = F.reverse(F.array_sort(pairs))
-    return F.when(host == "", F.array().cast("array<string>")).otherwise(F.transform(ordered, lambda p: p["key"]))
+def candidate_keys(host: Column, path: Column, shapes: list[tuple[int, int]]) -> Column:
+    """Keys that a rule for this url could have: for each shape (labels of the host, length of the path) of some rule, the
+    host's last labels with the path's beginning; the longest key first, of equally long ones the longer host.
+
+    No other key can be listed, so a host of any number of labels has at most one key for each shape.
+    """
+    labels = F.size(F.split(host, r"\.", -1))
+    size = F.length(path)
+    listed = F.array(*(F.struct(F.lit(d).alias("labels"), F.lit(n).alias("length")) for d, n in shapes))
+    one = lambda s: F.call_function("substring_index", host, F.lit("."), -s["labels"])
+    fitting = F.filter(listed, lambda s: (s["labels"] <= labels) & (s["length"] <= size))
+    pairs = F.transform(fitting, lambda s: F.struct(
+        (F.length(one(s)) + s["length"]).alias("size"), F.length(one(s)).alias("host_size"),
+        F.concat_ws(_GAP, one(s), F.substring(path, F.lit(1), s["length"])).alias("key")))
+    keys = F.transform(F.reverse(F.array_sort(pairs)), lambda p: p["key"])
+    return F.when(host == "", F.array().cast("array<string>")).otherwise(keys)
 
 
 # --- cascades ---------------------------------------------------------------------------------------------------
@@ -165,11 +170,12 @@ def build_cascade(listed: DataFrame, universe: DataFrame) -> Cascade:
 
 
 def checked_rules(rules: DataFrame) -> DataFrame:
-    """Distinct rules ``key, length, action``. A rule listed with both actions is refused."""
+    """Distinct rules ``key, labels, length, action``. A rule listed with both actions is refused."""
     rows = rules.select(
         F.translate(F.col("host"), _UPPER, _LOWER).alias("host"), F.col("path"), F.col("action"),
     ).where("host is not null and path is not null").distinct()
     rows = written_once(rows.select(F.concat_ws(_GAP, "host", "path").alias("key"),
+                                    F.size(F.split("host", r"\.", -1)).alias("labels"),
                                     F.length("path").alias("length"), "action"), "url-rules")
     wrong = rows.where(~F.col("action").isin(*ACTIONS)).limit(1).collect()
     twice = rows.groupBy("key").count().where("count > 1").limit(1).collect()
@@ -219,13 +225,15 @@ def url_verdicts(
     starts with its path. The longest rule (host and path together) decides, of equally long ones that with the longer
     host; without a rule the verdict is ``default``, as the cascades list no key of the url. A null url, one without
     ``://`` and one with an empty host have no rule. Repeated rows are judged each; an empty rule list leaves all to
-    ``default``; an empty table gives no rows.
+    ``default``; an empty table gives no rows. A url of any length, with any number of labels, costs one key for each
+    shape of rules. Other columns of ``pages`` are not read and may have any name.
     """
     listed = checked_rules(rules)
-    lengths = [r[0] for r in listed.select("length").distinct().collect()]  # at most the longest rule's path + 1
+    # bounded by the most labels times the longest path of any rule
+    shapes = [tuple(r) for r in listed.select("labels", "length").distinct().collect()]
     rows = pages.select(pages[id_col].cast("long").alias("page_id"), pages[url_col].cast("string").alias("url"))
     rows = rows.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    rows = rows.withColumn("keys", candidate_keys(F.col("host"), F.col("path"), lengths or [0]))
+    rows = rows.withColumn("keys", candidate_keys(F.col("host"), F.col("path"), shapes or [(1, 0)]))
     universe = written_once(rows.select(F.explode("keys").alias("key")).distinct(), "url-universe")
     entries, keys = listed.count(), universe.count()
     bits = entries * (2 * math.log2(max(2, keys / max(1, entries))) + 8)  # all levels, generously

@@ -173,3 +173,30 @@ def test_chat(spark):
     assert got[2][1] == [("", "<turn user>")] and got[2][2] == ""
     assert got[None] == ("<turn assistant>x\\g</turn>\n", [("assistant", "x>")], "x>")
     assert chat.chat_format(df.limit(0)).count() == 0
+
+
+def test_a_conversation_of_very_many_turns(spark):
+    """100,000 turns, learned ones adjacent now and then; texts with control strings and beyond the basic plane."""
+    n = 100_000
+    turns = spark.range(n).select(
+        F.lit(1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") % 3 == 0, "user").otherwise("assistant").alias("role"),
+        F.concat(F.lit("</turn>\\é𝄞 "), F.col("id").cast("string")).alias("text"))
+    out = chat.chat_format(turns).select(
+        F.size("loss_spans").alias("n"), chat.read_back(F.col("formatted")).alias("t"),
+        chat.loss_text(F.col("formatted"), F.col("loss_spans")).alias("l")).first()
+    expected = [("assistant" if i % 3 else "user", f"</turn>\\é𝄞 {i}") for i in range(n)]
+    assert [tuple(t) for t in out.t] == expected
+    learned = [x for role, x in expected if role == "assistant"]
+    assert out.n == len(learned) and out.l == "".join(learned)
+
+
+def test_url_filter_of_a_very_long_host(spark):
+    """A host of a million labels and a path of a million parts have a key for each shape of rules, no more."""
+    rules = spark.createDataFrame(
+        [("net", "/", "block"), ("a.net", "/en/", "allow")], "host string, path string, action string")
+    host = "x." * 1_000_000 + "a.net"
+    urls = [f"http://{host}/en/1", f"http://{host}/de", "http://a.org/" + "p/" * 1_000_000, "http://" + "." * 1_000_000 + "net/"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = [(r.rule, r.verdict) for r in url_filter.url_verdicts(pages, rules).orderBy("page_id").collect()]
+    assert got == [("a.net/en/", "allow"), ("net/", "block"), (None, "allow"), ("net/", "block")]
