@@ -13,8 +13,9 @@ Unreadable input raises (``PATH_NOT_FOUND`` and the like); it is never taken for
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hirelake.functions.urls import job_id_from_filename
 from hirelake.schemas import CARD_SCHEMAS, DETAIL_SCHEMAS
@@ -44,20 +45,54 @@ def read_cards(
 ) -> DataFrame:
     """Cards of a day, JSON lists as well as the line-delimited files that :func:`write_cards` makes.
 
-    ``path`` with ``lines`` reads other files of one form. Cards without ``position`` get one that follows their order
-    in the file (a file with a list is read by one task).
+    ``path`` with ``lines`` reads other files of one form. Cards without ``position`` get their place in their file, from
+    0, whatever splits the file is read in; files written here hold positions already.
     """
-    reader, folder = _json(spark, CARD_SCHEMAS[source]), cards_path(root, source, dt)
+    folder = cards_path(root, source, dt)
+    if path and lines:
+        return _placed(_json(spark, CARD_SCHEMAS[source]).json(path, multiLine=False))
+    listed = _listed_cards(spark, path or folder, source, "*" if path else "search*.json")
     if path:
-        cards = reader.json(path, multiLine=not lines)
-    else:
-        listed = reader.json(folder, multiLine=True, pathGlobFilter="search*.json")
-        cards = listed.unionByName(reader.json(folder, multiLine=False, pathGlobFilter="part-*.json"))
-    return cards.withColumn("position", F.coalesce("position", F.monotonically_increasing_id()))
+        return listed
+    return listed.unionByName(
+        _json(spark, CARD_SCHEMAS[source]).json(folder, multiLine=False, pathGlobFilter="part-*.json"))
+
+
+def _listed_cards(spark: SparkSession, path: str, source: str, files: str) -> DataFrame:
+    """Files with one JSON list each. A file is one row, so its elements number themselves without shuffle."""
+    schema = CARD_SCHEMAS[source]
+    texts = spark.read.text(path, wholetext=True, pathGlobFilter=files).where(F.length(F.trim("value")) > 0)
+    cards = F.from_json("value", T.ArrayType(schema), {"mode": "FAILFAST"})
+    rows = texts.select(F.posexplode(cards).alias("_place", "_card")).select("_place", "_card.*")
+    return rows.withColumn("position", F.coalesce("position", F.col("_place").cast("long"))).drop("_place")
+
+
+def _placed(cards: DataFrame) -> DataFrame:
+    """Rows of line-delimited files with their place in the file where they have no ``position``.
+
+    A split numbers its rows as they come; a narrow second scan counts the rows of each split, and those of the splits
+    before it in the file are added. Both scans deal the same splits to the same tasks, as the listing is the same.
+    A reader that does not ask for ``position`` has neither the second scan nor the join.
+    """
+    rows = cards.select(
+        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_row"))
+    splits = rows.groupBy("_file", "_block").agg(
+        F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_rows"),
+        F.count_if(F.col("position").isNull()).alias("_open"))
+    before = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+    place = F.when(F.col("_open") > 0, F.col("_before") + F.col("_row") - F.col("_first"))
+    placed = rows.join(splits, ["_file", "_block"], "left").withColumn("position", F.coalesce("position", place))
+    return placed.select(*cards.columns)
 
 
 def write_cards(cards: DataFrame, root: str, source: str, dt: str) -> None:
-    """A day's cards as JSON lines, in one folder for all queries; a rerun replaces them."""
+    """A day's cards as JSON lines, in one folder for all queries; a rerun replaces them.
+
+    Cards without ``position`` get one that follows their order in the frame, so every read finds the same.
+    """
+    cards = cards.withColumn("position", F.coalesce("position", F.monotonically_increasing_id()))
     cards.write.mode("overwrite").option("ignoreNullFields", False).json(parsed_cards_path(root, source, dt))
 
 

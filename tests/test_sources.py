@@ -28,6 +28,29 @@ def test_read_cards_globs_queries_and_pages(spark, tmp_path):
     assert cards.where("snippet IS NOT NULL").count() == 0
 
 
+def test_positions_do_not_depend_on_splits(spark, tmp_path):
+    """Line-delimited files of several splits and lists of several files: places in the file, own positions stay."""
+    lines = [[{"job_url": f"{f}/{i}", "snippet": "x" * 50, **({"position": 7} if i == 3 else {})} for i in range(n)]
+             for f, n in enumerate((500, 90, 2000))]
+    for f, cards in enumerate(lines):
+        put(f"{tmp_path}/lines/{f}.json", "\n".join(map(json.dumps, cards)) + "\n")
+        put(f"{tmp_path}/lists/{f}.json", cards)
+    expected = {c["job_url"]: c.get("position", i) for cards in lines for i, c in enumerate(cards)}
+    sizes = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for size in ("4096", "30000", "128m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "100")
+            for form in ("lines", "lists"):
+                cards = lake.read_cards(spark, "", "workua", "", lines=form == "lines", path=f"{tmp_path}/{form}")
+                assert {r.job_url: r.position for r in cards.collect()} == expected
+                assert cards.count() == len(expected)
+                assert "Join" not in cards.select("job_url")._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        for key, value in sizes.items():
+            spark.conf.set(key, value)
+
+
 def test_empty_list_and_missing_array_column(spark, tmp_path):
     path = f"{tmp_path}/jobs/source=ithub/dt=2026-03-14/parsed/search_results.json"
     put(path, [])
