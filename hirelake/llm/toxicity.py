@@ -27,12 +27,13 @@ from hirelake.session import written_once
 
 #: Labelled rows of each class that learning may read.
 FIT_ROWS = 4_000
-#: Terms of the lexicon, the most significant first.
-LEXICON = 250
+#: Terms of one automaton; a lexicon of more terms has several, so that no table of states grows with the lexicon.
+AUTOMATON_TERMS = 250
 #: Lengths of stems.
 STEM = (4, 7)
-#: Least root of a term's likelihood ratio (a normal score where the term says nothing).
-SIGNIFICANT = 4.5
+#: Least roots of a term's likelihood ratio (a normal score where the term says nothing). Each gives a lexicon of all terms
+#: beyond it; that with the least loss on rows that gave no lexicon is used.
+SIGNIFICANT = (4.5, 7.0, 10.0)
 #: Characters before and after a term that are looked at for quotation marks, words for other terms.
 QUOTE_WINDOW, CLUSTER_WINDOW = 80, 12
 
@@ -119,23 +120,45 @@ def run(automaton: LexiconAutomaton, words: Words) -> tuple[np.ndarray, np.ndarr
 
 @dataclass(frozen=True)
 class Lexicon:
-    automaton: LexiconAutomaton
+    automata: tuple[tuple[LexiconAutomaton, np.ndarray], ...]  # each with the numbers of its terms
     weights: np.ndarray  # by term number
     stems: np.ndarray  # by term number: is it a stem
 
 
-def lexicon(terms: dict[str, tuple[bool, float]]) -> Lexicon:
-    """Of term -> (is a stem, weight)."""
-    order = sorted(terms, key=lambda t: (terms[t][0], -len(t), t))
-    return Lexicon(compile_lexicon({t: terms[t][0] for t in order}),
-                   np.array([terms[t][1] for t in order], float), np.array([terms[t][0] for t in order], bool))
+def lexicon(terms: dict[str, tuple]) -> Lexicon:
+    """Of term -> (is a stem, weight, ...). Neighbours in the alphabet share an automaton, as they share a trie."""
+    rank = lambda t: (terms[t][0], -len(t), t)
+    order = sorted(terms, key=rank)
+    number = {t: i for i, t in enumerate(order)}
+    spelt, automata = sorted(terms), []
+    for at in range(0, max(1, len(spelt)), AUTOMATON_TERMS):
+        own = sorted(spelt[at : at + AUTOMATON_TERMS], key=rank)
+        automata.append((compile_lexicon({t: terms[t][0] for t in own}), np.array([number[t] for t in own], np.int32)))
+    return Lexicon(tuple(automata), np.array([terms[t][1] for t in order], float),
+                   np.array([terms[t][0] for t in order], bool))
+
+
+def matches(lex: Lexicon, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers of matching words, terms and edits: of all automata's matches that with fewest edits, then a whole term
+    before a stem, then the longest."""
+    parts_ = []
+    for automaton, number in lex.automata:
+        at, term, errors = run(automaton, words)
+        parts_.append((at, number[term] if len(term) else term, errors))
+    if len(parts_) == 1:
+        return parts_[0]
+    at, term, errors = (np.concatenate(c) for c in zip(*parts_, strict=True))
+    order = np.lexsort((term, errors, at))  # numbers follow whole terms first, then length
+    at, term, errors = at[order], term[order], errors[order]
+    first = np.concatenate(([True], at[1:] != at[:-1])) if len(at) else np.zeros(0, bool)
+    return at[first], term[first], errors[first]
 
 
 def features(texts: list[str], lex: Lexicon) -> np.ndarray:
     """A row of FEATURES per text."""
     n = len(texts)
     words = Words.of([t.lower() for t in texts])
-    at, term, errors = run(lex.automaton, words)
+    at, term, errors = matches(lex, words)
     out = np.zeros((n, len(FEATURES)))
     if not len(at):
         return out
@@ -187,7 +210,7 @@ class Model:
 
 
 def fit_sample(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
-    """``text, toxic, part`` of at most ``rows`` documents of each class that are not held out, first by hash.
+    """``doc_id, text, toxic, part`` of at most ``rows`` documents of each class that are not held out, first by hash.
 
     Ids are chosen from the labels alone and broadcast (at most twice ``rows``); texts are picked where they are read.
     A document labelled more than once is toxic if any label says so.
@@ -200,7 +223,7 @@ def fit_sample(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Data
         some = own.where(F.col("toxic") == kind).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
         chosen = some if chosen is None else chosen.unionAll(some)
     chosen = chosen.withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(3)).cast("int"))
-    return docs.join(F.broadcast(chosen), "doc_id").select("text", "toxic", "part")
+    return docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic", "part")
 
 
 def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,8 +244,11 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     })
 
 
-def learned_terms(sample: DataFrame, limit: int = LEXICON) -> dict[str, tuple[bool, float]]:
-    """The most significant terms, by the likelihood ratio of their document frequencies, with smoothed log-odds."""
+def learned_terms(sample: DataFrame) -> dict[str, tuple[bool, float, float]]:
+    """All significant terms as (is a stem, smoothed log-odds, root of the likelihood ratio of document frequencies).
+
+    The most significant come first, and no term hangs on later ones: those beyond a level are a lexicon. They are terms of the bounded sample, each in at least three of its documents.
+    """
     counts = sample.select("text", "toxic").mapInArrow(_term_counts, "term string, stem boolean, toxic int, n long")
     both = counts.groupBy("term", "stem").agg(
         F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("a"),
@@ -237,19 +263,20 @@ def learned_terms(sample: DataFrame, limit: int = LEXICON) -> dict[str, tuple[bo
     part = lambda n, p: F.when(n > 0, n * F.log(n / (both_n * p))).otherwise(0.0)
     ratio = F.sqrt(2 * (part(F.col("a"), share) + part(F.col("b"), 1 - share)))
     best = both.where("term is not null and a >= 3").select("term", "stem", "a", odds.alias("w"), ratio.alias("z"))
-    best = best.where((F.col("z") >= SIGNIFICANT) & (F.col("w") >= 1.5))
-    rows = best.orderBy(F.desc("z"), "stem", "term").limit(4 * limit).collect()
-    kept: dict[str, tuple[bool, float]] = {}
-    for r in rows:
-        if len(kept) == limit:
-            break
+    best = best.where((F.col("z") >= min(SIGNIFICANT)) & (F.col("w") >= 1.5))
+    kept: dict[str, tuple[bool, float, float]] = {}
+    documents: dict[str, int] = {}  # stem -> documents of its most frequent kept word
+    for r in best.orderBy(F.desc("z"), "stem", "term").collect():
+        term = r["term"]
         # what a kept term finds already needs no term of its own
-        begun = any(k == r["term"] or s and r["term"].startswith(k) for k, (s, _) in kept.items())
-        if r["stem"]:  # a stem whose documents are nearly those of one kept word says nothing more
-            begun = begun or any(not s and k.startswith(r["term"]) and x["a"] >= 0.9 * r["a"]
-                                 for k, (s, _) in kept.items() for x in rows if x["term"] == k and not x["stem"])
-        if not begun:
-            kept[r["term"]] = (bool(r["stem"]), float(r["w"]))
+        begun = term in kept or any(kept.get(term[:n], (False,))[0] for n in range(*STEM))
+        # a stem whose documents are nearly those of one kept word says nothing more
+        if begun or r["stem"] and documents.get(term, 0) >= 0.9 * r["a"]:
+            continue
+        kept[term] = (bool(r["stem"]), float(r["w"]), float(r["z"]))
+        if not r["stem"]:
+            for n in range(*STEM):
+                documents[term[:n]] = max(documents.get(term[:n], 0), r["a"])
     return kept
 
 
@@ -272,18 +299,46 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     The part of the sample that gave the lexicon does not fit the weights, so chance finds are not trusted.
     """
     sample = written_once(fit_sample(docs, labels, rows), "toxicity-sample")
-    lex = lexicon(learned_terms(sample.where("part <> 0")))
+    terms = learned_terms(sample.where("part <> 0"))
+    part, best = sample.where("part = 0").select("doc_id", "text", "toxic"), None
+    for level in SIGNIFICANT:
+        own = {t: v for t, v in terms.items() if v[2] >= level}
+        if best is not None and len(own) == len(best.lexicon.weights):
+            continue  # the lexicon before
+        lex = lexicon(own)
+        x, y = _known(part, lex)
+        if len(set(y.tolist())) < 2:
+            return Model(lex, np.array([-40.0] + [0.0] * len(FEATURES)))
+        loss = _loss(x, y)
+        if best is None or loss < least:
+            best, least = Model(lex, logistic(x, y)), loss
+    return best
+
+
+def _known(part: DataFrame, lex: Lexicon) -> tuple[np.ndarray, np.ndarray]:
+    """Features and labels of the sample's part, by id: at most 2 * FIT_ROWS rows of seven numbers."""
 
     def rows_of(batches):
         for batch in batches:
-            x = np.concatenate([features(t, lex) for t in parts([t or "" for t in batch.column(0).to_pylist()])])
-            yield pa.record_batch({"x": pa.array(list(x), pa.list_(pa.float64())), "toxic": batch.column(1)})
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            x = np.concatenate([features(t, lex) for t in parts(texts)])
+            yield pa.record_batch(
+                {"doc_id": batch.column(0), "x": pa.array(list(x), pa.list_(pa.float64())), "toxic": batch.column(2)})
+
+    known = part.mapInArrow(rows_of, "doc_id long, x array<double>, toxic int").toPandas()
+    known = known.sort_values("doc_id", kind="stable")
+    x = np.stack(known["x"]) if len(known) else np.zeros((0, len(FEATURES)))
+    return x, known["toxic"].to_numpy(float)
+
 
-    part = sample.where("part = 0").select("text", "toxic").mapInArrow(rows_of, "x array<double>, toxic int")
-    known = part.toPandas()  # at most 2 * FIT_ROWS rows of seven numbers
-    if known["toxic"].nunique() < 2:
-        return Model(lex, np.array([-40.0] + [0.0] * len(FEATURES)))
-    return Model(lex, logistic(np.stack(known["x"]), known["toxic"].to_numpy(float)))
+def _loss(x: np.ndarray, y: np.ndarray, folds: int = 5) -> float:
+    """Mean logistic loss of each fold's rows under the weights of the others."""
+    fold, total = np.arange(len(y)) % folds, 0.0
+    for k in range(folds):
+        w = logistic(x[fold != k], y[fold != k])
+        z = (2 * y[fold == k] - 1) * (w[0] + x[fold == k] @ w[1:])
+        total += float(np.logaddexp(0, -z).sum())
+    return total / max(1, len(y))
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
@@ -302,7 +357,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     """``doc_id, held_out, score, predicted``, one row per row of ``docs``.
 
     Scores come from the text alone. Null and empty texts get the score of a text without terms; repeated rows get
-    equal scores; without labels nothing is predicted toxic. An empty table gives no rows.
+    equal scores; without labels nothing is predicted toxic. An empty table gives no rows. Very long texts are scored
+    whole; other columns of ``docs`` are not read and may have any name.
     """
     rows = id_and_text(docs, id_col, text_col)
     return scored(rows, fit(rows, labels)).select(

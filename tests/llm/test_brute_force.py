@@ -52,9 +52,10 @@ def test_words_run_together_as_one_by_one():
     lex = toxicity.lexicon({"idiot": (False, 3.0), "réeu": (True, 2.0), "scum": (False, 3.0)})
     sample = ["An idi0t, IDOT and idiots; réeux! scum scun id*ot", "", "x", 'he said "idiot" there', "idiot " * 3]
     words = toxicity.Words.of([t.lower() for t in sample])
-    at, term, errors = toxicity.run(lex.automaton, words)
+    automaton = lex.automata[0][0]
+    at, term, errors = toxicity.run(automaton, words)
     whole = "\n".join(t.lower() for t in sample)
-    expected = [(i, *m) for i, (a, b) in enumerate(zip(words.first, words.end, strict=True)) if (m := lex.automaton.match(whole[a:b]))]
+    expected = [(i, *m) for i, (a, b) in enumerate(zip(words.first, words.end, strict=True)) if (m := automaton.match(whole[a:b]))]
     assert list(zip(at.tolist(), term.tolist(), errors.tolist(), strict=True)) == expected and len(expected) == 10
     x = toxicity.features(sample, lex)
     assert x[3, 3] > 0 and x[3, 0] == 0 and x[4, 4] > 0 and not x[1].any()
@@ -267,3 +268,17 @@ def test_pipeline(spark, sf_dir, texts):
         dirty += has(t)
         assert cut.get(i, "") == t if not has(t) else not has(cut.get(i, ""))
     assert dirty and {r.doc_id for r in packed} == set(cut)
+
+
+def test_a_lexicon_of_several_automata(monkeypatch, texts):
+    """Terms dealt to many automata match as one automaton of all of them does."""
+    words = sorted({w for t in texts.values() for w in re.findall(r"[a-z]{4,}", (t or "").lower())})[:300]
+    terms = {w: (False, 1.0 + len(w)) for w in words} | {w[:4]: (True, 1.0) for w in words[::7] if w[:4] not in words}
+    one_text = [t or "" for t in list(texts.values())[:200]]
+    whole = toxicity.lexicon(terms)
+    monkeypatch.setattr(toxicity, "AUTOMATON_TERMS", 23)
+    dealt = toxicity.lexicon(terms)
+    assert len(dealt.automata) > len(whole.automata) and (dealt.weights == whole.weights).all()
+    read = toxicity.Words.of([t.lower() for t in one_text])
+    for a, b in zip(toxicity.matches(whole, read), toxicity.matches(dealt, read), strict=True):
+        assert len(a) > 100 and a.tolist() == b.tolist()
