@@ -6,7 +6,8 @@
    document moves from the emptiest bin to another, or is exchanged one for one or two for one, whenever that increases
    the sum of squared fills, until bins are empty. Groups follow the order in which rows come, so no key can be hot.
 3. Full bins are final. The pieces of underfull bins of all groups meet in the next round in fewer groups, until one
-   bounded group is left; so the whole table ends with the waste of one group.
+   bounded group is left or their bins are within one a group of the least number possible; a round that gains nothing
+   at all ends the search too.
 """
 
 from __future__ import annotations
@@ -196,7 +197,7 @@ def packed_group(sizes: list[int], capacity: int) -> list[list[int]]:
 def _round(capacity: int, final: bool):
     """Packs a task's rows in groups; pieces of underfull bins keep a null sequence unless the round is the last.
 
-    Sequences are numbered within the round, by task.
+    Sequences are numbered within the round, by task. Of the pieces of a bin, open or not, just one has offset 0.
     """
 
     def pack(batches: Iterator[pa.RecordBatch]):
@@ -214,7 +215,7 @@ def _round(capacity: int, final: bool):
                 for i in own:
                     order.append(i)
                     sequence.append((task << 33) | made if closed else None)
-                    offset.append(at if closed else None)
+                    offset.append(at)
                     at += sizes[i]
                 made += closed
             out = rows.take(pa.array(order, pa.int64())).select(["doc_id", "piece", "start", "length", "ids_crc32"])
@@ -238,9 +239,14 @@ def _round(capacity: int, final: bool):
 
 
 def pack(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """Pieces with ``sequence_id`` and ``offset`` (gapless from 0 in each sequence); lengths must be 1 to capacity."""
+    """Pieces with ``sequence_id`` and ``offset`` (gapless from 0 in each sequence); lengths must be 1 to capacity.
+
+    Pieces of underfull bins are dealt anew until they fit into one group, or until their bins exceed the least number
+    possible (by tokens, and by pieces of more than half the capacity) by no more than one for each group.
+    """
     done, first = None, 0
-    rest, left, last = rows.select("doc_id", "piece", "start", "length", "ids_crc32"), None, False
+    rest, last = rows.select("doc_id", "piece", "start", "length", "ids_crc32"), False
+    before = None
     while True:
         result = written_once(rest.mapInArrow(_round(capacity, last), _PACKED), "packed")
         closed = result if last else result.where("sequence_id is not null")
@@ -250,17 +256,23 @@ def pack(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         if last:
             return done
         rest = result.where("sequence_id is null")
-        before, left = left, rest.count()
-        # one group at the end, or groups that no longer shrink: what is left has no complement in other groups
-        last = left <= GROUP or (before is not None and left > 0.9 * before)
-        rest = rest.repartition(max(1, -(-left // GROUP)))
+        left, tokens, large, bins = rest.agg(
+            F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0)), F.count_if(F.col("length") * 2 > capacity),
+            F.count_if(F.col("offset") == 0)).first()
+        groups = max(1, -(-left // GROUP))
+        least = max(-(-tokens // capacity), large)
+        # a deal that neither closes a bin nor saves one is the end too: the next would start from like groups
+        last = groups == 1 or bins - least <= groups or (before is not None and (left, bins) >= before)
+        before = (left, bins)
+        rest = rest.drop("sequence_id", "offset").repartition(groups)
 
 
 def best_fit_packing(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """Packs all documents into as few sequences of ``capacity`` tokens as the search finds.
 
     One row per piece: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset``. A null or empty text is a piece
-    of its end id alone. Repeated rows are packed each. An empty table gives no rows.
+    of its end id alone. Repeated rows are packed each. An empty table gives no rows. A very long text is tokenised
+    whole and cut; other columns of ``docs`` are not read and may have any name.
     """
     made = written_once(pieces(id_and_text(docs, id_col, text_col), **options), "pieces")
     return pack(made, options.get("capacity", CAPACITY))

@@ -282,3 +282,23 @@ def test_a_lexicon_of_several_automata(monkeypatch, texts):
     read = toxicity.Words.of([t.lower() for t in one_text])
     for a, b in zip(toxicity.matches(whole, read), toxicity.matches(dealt, read), strict=True):
         assert len(a) > 100 and a.tolist() == b.tolist()
+
+
+@pytest.mark.parametrize("kind", ["mixed", "no complement", "late complement"])
+def test_underfull_bins_meet_until_nothing_is_gained(spark, monkeypatch, kind):
+    """Small groups: every piece once, gapless, and no more sequences than the least possible and one a group."""
+    monkeypatch.setattr(packing, "GROUP", 200)
+    rng = np.random.default_rng(3)
+    sizes = {"mixed": rng.integers(1, 1025, 3000), "no complement": np.full(1500, 600),
+             "late complement": np.concatenate((np.full(1500, 600), np.full(1500, 424)))}[kind].tolist()
+    rows = spark.createDataFrame([(i, 0, 0, n, i) for i, n in enumerate(sizes)], "doc_id long, piece int, start long, length long, ids_crc32 long")
+    out = packing.pack(rows.repartition(1) if kind == "mixed" else rows.coalesce(1)).collect()
+    bins = {}
+    for r in out:
+        bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert sorted(r.doc_id for r in out) == list(range(len(sizes)))
+    for own in bins.values():
+        own.sort()
+        assert [o for o, _ in own] == np.cumsum([0, *(n for _, n in own[:-1])]).tolist() and sum(n for _, n in own) <= 1024
+    least = max(-(-sum(sizes) // 1024), sum(n > 512 for n in sizes))
+    assert len(bins) <= least + -(-len(sizes) // 200)
