@@ -298,11 +298,13 @@ def components(edges: DataFrame) -> DataFrame:
             return state.select(F.col("u").alias("node"), F.col("v").alias("root"))
         seen = mark
         both = state.select("u", "v").unionAll(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+        # stored before the join, so the rows of a hub are no longer bound to one task by its aggregate and can be split
+        least = written_once(
+            both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), "star-least")
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         down = large.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
         down = written_once(down, "star-large")
-        least = down.groupBy("u").agg(F.min("v").alias("m"))
+        least = written_once(down.groupBy("u").agg(F.min("v").alias("m")), "star-least")
         across = down.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         own = least.select("u", F.col("m").alias("v"))
         state = written_once(across.unionAll(own).distinct(), "star")
@@ -333,7 +335,7 @@ def near_dedup(
         rooted = classes.join(roots, classes["fp"] == roots["node"], "left").select(
             "fp", "least_id", F.coalesce("root", "fp").alias("root"))
         rooted = written_once(rooted, "simhash-rooted")
-        names = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
+        names = written_once(rooted.groupBy("root").agg(F.min("least_id").alias("component_id")), "simhash-names")
         named = rooted.join(names, "root").select("fp", "component_id")
     return prints.join(named, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
