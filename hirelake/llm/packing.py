@@ -6,13 +6,14 @@
    document moves from the emptiest bin to another, or is exchanged one for one or two for one, whenever that increases
    the sum of squared fills, until bins are empty. Groups follow the order in which rows come, so no key can be hot.
 3. Full bins are final. The pieces of underfull bins of all groups meet in the next round in fewer groups, until one
-   bounded group is left or their bins are within one a group of the least number possible; a round that gains nothing
-   at all ends the search too.
+   bounded group is left or their bins are within one a group of the least number possible. Where meeting gains little,
+   the fuller ones become final and the emptier ones meet.
 """
 
 from __future__ import annotations
 
 import base64
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -194,10 +195,10 @@ def packed_group(sizes: list[int], capacity: int) -> list[list[int]]:
 # --- the operator -----------------------------------------------------------------------------------------------
 
 
-def _round(capacity: int, final: bool):
-    """Packs a task's rows in groups; pieces of underfull bins keep a null sequence unless the round is the last.
+def _round(capacity: int, closing: float):
+    """Packs a task's rows in groups; full bins close, and the fullest ``closing`` share of the others in each group.
 
-    Sequences are numbered within the round, by task. Of the pieces of a bin, open or not, just one has offset 0.
+    Pieces of bins that stay open keep a null sequence. Sequences are numbered within the round, by task. Of the pieces of a bin, open or not, just one has offset 0.
     """
 
     def pack(batches: Iterator[pa.RecordBatch]):
@@ -209,8 +210,14 @@ def _round(capacity: int, final: bool):
             rows = pa.Table.from_batches(held)
             sizes = rows.column("length").to_pylist()
             order, sequence, offset = [], [], []
-            for own in packed_group(sizes, capacity):
-                closed = final or sum(sizes[i] for i in own) == capacity
+            bins = packed_group(sizes, capacity)
+            fill = [sum(sizes[i] for i in own) for own in bins]
+            open_ = sorted((f for f in fill if f < capacity), reverse=True)
+            n_closing = math.ceil(closing * len(open_))
+            bound, ties = (open_[n_closing - 1], n_closing - sum(f > open_[n_closing - 1] for f in open_)) if n_closing else (capacity, 0)
+            for own, f in zip(bins, fill, strict=True):
+                closed = f > bound or f == capacity or (f == bound and ties > 0)
+                ties -= f == bound
                 at = 0
                 for i in own:
                     order.append(i)
@@ -242,28 +249,30 @@ def pack(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Pieces with ``sequence_id`` and ``offset`` (gapless from 0 in each sequence); lengths must be 1 to capacity.
 
     Pieces of underfull bins are dealt anew until they fit into one group, or until their bins exceed the least number
-    possible (by tokens, and by pieces of more than half the capacity) by no more than one for each group.
+    possible (by tokens, and by pieces of more than half the capacity) by no more than one for each group. After a round
+    that gained less than a tenth the fuller half of the underfull bins closes and the emptier half meets again, so the
+    rounds grow with the logarithm of the rows and the emptiest bins of all groups end in one.
     """
-    done, first = None, 0
-    rest, last = rows.select("doc_id", "piece", "start", "length", "ids_crc32"), False
-    before = None
+    done, first, before = None, 0, None
+    rest, closing = rows.select("doc_id", "piece", "start", "length", "ids_crc32"), 0.0
     while True:
-        result = written_once(rest.mapInArrow(_round(capacity, last), _PACKED), "packed")
-        closed = result if last else result.where("sequence_id is not null")
+        result = written_once(rest.mapInArrow(_round(capacity, closing), _PACKED), "packed")
+        closed = result.where("sequence_id is not null")
         closed = closed.withColumn("sequence_id", F.col("sequence_id") + F.lit(first).cast("long"))
         first += (result.agg(F.max("sequence_id")).first()[0] or 0) + 1  # behind all numbers of this round
         done = closed if done is None else done.unionAll(closed)
-        if last:
+        if closing == 1:
             return done
         rest = result.where("sequence_id is null")
         left, tokens, large, bins = rest.agg(
             F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0)), F.count_if(F.col("length") * 2 > capacity),
             F.count_if(F.col("offset") == 0)).first()
         groups = max(1, -(-left // GROUP))
-        least = max(-(-tokens // capacity), large)
-        # a deal that neither closes a bin nor saves one is the end too: the next would start from like groups
-        last = groups == 1 or bins - least <= groups or (before is not None and (left, bins) >= before)
-        before = (left, bins)
+        if groups == 1 or bins - max(-(-tokens // capacity), large) <= groups:
+            closing = 1.0
+        else:
+            closing = 0.5 if before is not None and left > 0.9 * before else 0.0
+        before = left
         rest = rest.drop("sequence_id", "offset").repartition(groups)
 
 
