@@ -10,12 +10,13 @@ search through wavelet ranks, located by sampled suffix positions, and merged in
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +31,8 @@ WINDOW = 10
 BLOCK_WORDS = 200_000
 #: Symbols of one shard's index.
 SHARD_SYMBOLS = 1_000_000
+#: Blocks that one task passes its texts through, each in a Python worker of its own with the block in memory.
+PASSES = 4
 
 _SPANS = "array<struct<first:int,end:int>>"
 
@@ -61,22 +64,35 @@ class Block:
         return self
 
 
-def blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int = WINDOW) -> list[Block]:
-    """The items in blocks of about BLOCK_WORDS words. Items without words are none; a repeated id is one item."""
+def blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int = WINDOW) -> Iterator[Block]:
+    """The items in blocks of about BLOCK_WORDS words, one at a time. Items without words are none; a repeated id is one item."""
     items = benchmark.select(
         benchmark[id_col].cast("long").alias("item_id"), benchmark[text_col].cast("binary").alias("text")
     ).where("text is not null")
-    out, now, held = [], Block(window), 0
+    now, held = Block(window), 0
     for item_id, text in items.toLocalIterator():  # one partition of the benchmark at a time
         own = words(bytes(text))
         now.add(item_id, own)
         held += len(own)
         if held >= BLOCK_WORDS:
-            out.append(now.ready())
+            yield now.ready()
             now, held = Block(window), 0
     if now.phrases:
-        out.append(now.ready())
-    return out
+        yield now.ready()
+
+
+def sent(spark: SparkSession, found: Iterator[Block]) -> list[Broadcast]:
+    """Each block is sent out as it is made: the driver's Python holds one block, the session its serialised bytes on disk."""
+    return [spark.sparkContext.broadcast(b) for b in found]
+
+
+def passes(rows: DataFrame, held: list[Broadcast], step: Callable[[Broadcast], Callable], schema: T.StructType) -> DataFrame:
+    """``rows`` through ``step`` of every block. Rows are stored after each PASSES blocks, so a task has no more workers."""
+    for k, block in enumerate(held):
+        if k and k % PASSES == 0:
+            rows = written_once(rows, "decontamination-pass")
+        rows = rows.mapInArrow(step(block), schema)
+    return rows
 
 
 @dataclass
@@ -153,18 +169,15 @@ def contamination(
     """``doc_id, n_words, spans`` (hit words, merged, end exclusive), ``items`` (ids, ascending), a row per row of docs.
 
     A window is ``window`` consecutive words of an item, or all of a shorter item. Null and empty texts have no words
-    and no hits; an empty benchmark hits nothing. An item without id marks hits but is not listed.
+    and no hits; an empty benchmark hits nothing. An item without id marks hits but is not listed. Texts of any length are
+    searched whole, a run of a text never being divided between indexes; other columns, whatever their names, are not read.
     """
     rows = id_and_text(docs, id_col, text_col)
     spark = docs.sparkSession
-    held = [spark.sparkContext.broadcast(b) for b in blocks(benchmark, item_col, item_text, window)]
-    held = held or [spark.sparkContext.broadcast(Block(window).ready())]
+    held = sent(spark, blocks(benchmark, item_col, item_text, window)) or sent(spark, iter([Block(window).ready()]))
     rows = rows.select("doc_id", "text", F.lit(0).cast("long").alias("n_words"),
                        F.array().cast(_SPANS).alias("spans"), F.array().cast("array<bigint>").alias("items"))
-    schema = rows.schema
-    for block in held:
-        rows = rows.mapInArrow(_find(block), schema)
-    return rows.drop("text")
+    return passes(rows, held, _find, rows.schema).drop("text")
 
 
 def _find(block):
@@ -241,14 +254,12 @@ def without_benchmark(
     are repeated until none of them finds anything.
     """
     spark = docs.sparkSession
-    held = [spark.sparkContext.broadcast(b) for b in blocks(benchmark, item_col, item_text, window)]
+    held = sent(spark, blocks(benchmark, item_col, item_text, window))
     text_at = docs.columns.index(text_col)
     chars_at = docs.columns.index(chars_col) if chars_col in docs.columns else None
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in docs.schema])
     while True:
-        rows = docs
-        for block in held:
-            rows = rows.mapInArrow(_remove(block, text_at, chars_at), schema)
+        rows = passes(docs, held, lambda block: _remove(block, text_at, chars_at), schema)
         if len(held) < 2:
             return rows
         docs = written_once(rows, "decontaminated")
