@@ -234,7 +234,7 @@ def test_held_out_toxicity_and_language(spark):
     rows = tox.select("predicted", "toxic").collect()
     right = sum(r.predicted == r.toxic for r in rows) / len(rows)
     caught = sum(r.predicted for r in rows if r.toxic) / sum(r.toxic for r in rows)
-    assert right > 0.97 and caught > 0.85
+    assert right > 0.97 and caught >= 0.9
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang")
     rows = QUERIES["op9_language"](spark, sf_dir).where("held_out").join(docs, "doc_id").select("lang", "lang_pred").collect()
     assert sum(r.lang == r.lang_pred for r in rows) / len(rows) > 0.98

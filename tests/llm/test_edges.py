@@ -1,8 +1,11 @@
 """Every operator on nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from hirelake.llm import (
     chat, decontaminate, exact_dedup, language_id, packing, pii, sharding, simhash, toxicity, url_filter,
 )
@@ -84,7 +87,9 @@ def test_a_cut_that_makes_an_occurrence_is_cut_again(make, spark):
     assert listed(got.select("doc_id", "text"), "doc_id") == [(1, "x  y"), (3, "b a")]
 
 
-def test_several_blocks_give_the_same(make, bench, docs, monkeypatch):
+@pytest.mark.parametrize("held", [1, 4])
+def test_several_blocks_give_the_same(make, bench, docs, monkeypatch, held):
+    monkeypatch.setattr(decontaminate, "PASSES", held)
     one = listed(decontaminate.contamination(docs, bench), "doc_id", "n_words")
     words = lambda df: sorted(str((r.doc_id, r.text and r.text.split())) for r in df.collect())
     cut = words(decontaminate.without_benchmark(docs, bench))
@@ -136,6 +141,51 @@ def test_pii(make, empty):
     assert pii.personal_data(empty).count() == 0
 
 
+def test_pii_of_very_many_candidates(make, monkeypatch):
+    """One text with 100,000 matches and candidates is that of its parts, each at its place."""
+    monkeypatch.setattr(pii, "learn", lambda rows: ("c.x[0] / 20D", dict.fromkeys(("email", "phone"), 0.0)))
+    unit, n = "é𝄞 mail a@b.cd (212) 555-1234 12 34 56 78 ", 25_000
+    rows = pii.personal_data(make([(1, unit), (2, unit * n)])).orderBy("doc_id").collect()
+    places = [{name: [(s.kind, s.start, s.end) for s in r[name]] for name in ("base", "added")} for r in rows]
+    assert [unit[a:b] for _, a, b in places[0]["base"]] == ["a@b.cd"]
+    assert [unit[a:b] for _, a, b in places[0]["added"]] == ["555-1234 12 34 56"]
+    for name in ("base", "added"):
+        (kind, a, b), = places[0][name]
+        assert places[1][name] == [(kind, a + i * len(unit), b + i * len(unit)) for i in range(n)]
+
+
+def test_pii_selects_best_spans_first(spark):
+    draw, rows = random.Random(5), []
+    for _ in range(60):
+        wide = draw.choice([10, 60, 400])
+        starts = [draw.randrange(wide) for _ in range(draw.randrange(40))]
+        rows.append([(draw.randrange(5) / 4, draw.randrange(4), a, a + draw.randrange(1, 9)) for a in starts])
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, c array<struct<p:double,kind:int,start:int,end:int>>")
+    got = {r.i: sorted(map(tuple, r.s)) for r in df.select("i", pii._best(F.col("c")).alias("s")).collect()}
+    for i, row in enumerate(rows):
+        kept = []
+        for _, _, a, kind, b in sorted((-p, a - b, a, kind, b) for p, kind, a, b in row):
+            if all(b <= x or y <= a for _, x, y in kept):
+                kept.append((kind, a, b))
+        assert got[i] == sorted(kept)
+
+
+@pytest.mark.parametrize("rows", [0, 1])
+def test_whole_pipeline_on_odd_tables(spark, tmp_path, rows):
+    """Nulls, empty, long and repeated texts, no labels, and columns named as the operators' own."""
+    own = ["dropped_id", "keep_id", "kept", "score", "spans", "items", "n_words", "fingerprint", "component_id", "piece"]
+    data = [(None, None), (1, None), (2, ""), (3, "one two three"), (3, "one two three"), (4, LONG), (5, "x y z " * 9)] * rows
+    docs = spark.createDataFrame(data, "doc_id long, text string").select(
+        "doc_id", "text", F.lit(None).cast("string").alias("lang"), F.lit(None).cast("string").alias("source"),
+        F.length("text").alias("n_chars"), *(F.lit(7).alias(c) for c in own))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(None, None), (1, "")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    pieces = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {r.doc_id for r in pieces if r.length > 1} == ({3, 4, 5} if rows else set())
+    assert sum(r.length == 1 for r in pieces) == rows  # of the texts without a word one stays
+
+
 def test_url_filter(spark):
     rules = [("net", "/", "block"), ("a.net", "/en/", "allow"), ("a.net", "/en/", "allow"), ("b.net", "", "allow")]
     rules = spark.createDataFrame(rules, "host string, path string, action string")
