@@ -3,12 +3,12 @@
 1. Base spans (fixed rules, checked) stay as they are.
 2. High-recall generators propose further spans that may overlap each other and what the base has dropped: a zero-width
    look-ahead at each possible start finds them, whatever an earlier match has swallowed.
-3. Boosted trees score each candidate from features of its format and context. They learn from a bounded sample (FIT_DOCS
-   documents, first by hash of the id). Positives are base spans as they stand, and the same spans rewritten in place
+3. Boosted trees score each candidate from features of its format and context. They learn from all texts: equal examples
+   become one row with their number as its weight, so the fit holds their kinds, not their count. Positives are base spans as they stand, and the same spans rewritten in place
    in the ways in which people mask or group them (``planted``), which the base does not match. Negatives are what the
    base decides: candidates of the extent of a match that its checks drop, and, in the original text, unmasked candidates apart
    from all its matches. Masked candidates in the original text teach nothing: no rule has decided them.
-4. For each kind a threshold is calibrated on a part of the sample that did not train: the lowest with PRECISION there.
+4. For each kind a threshold is calibrated on the third of the documents that did not train: the lowest with PRECISION there.
    Candidates above it are selected, best first, where they overlap no span yet.
 
 The trees become one CASE expression, so scoring is part of the same pass over the texts and nothing is shuffled.
@@ -16,6 +16,7 @@ The trees become one CASE expression, so scoring is part of the same pass over t
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Callable
 from functools import reduce
@@ -29,12 +30,13 @@ from hirelake.llm.common import id_and_text
 from hirelake.session import written_once
 
 KINDS = ("email", "ip", "card", "phone")
-#: Documents that learning may read.
-FIT_DOCS = 20_000
 PRECISION = 0.98
+#: What decides on a candidate besides itself: characters before it, and more behind it than any generator takes.
+BEFORE, BEHIND = 31, 1024
 #: Matches whose places are added up together, and the size of the pieces (a power of two) that contexts are cut from.
 RUN, BLOCK_BITS = 64, 9
-TREES, DEPTH = 10, 3
+#: Boosting: trees, their depth, and how many examples a leaf has at least.
+TREES, DEPTH, LEAF = 10, 3, 5
 
 #: The base rules. Possessive repeats and the look-behinds match the same spans as the plain rules, without trying a long
 #: run again from each of its characters; \G lets a match begin right where the one before ended.
@@ -208,11 +210,11 @@ def features(kind: str, c: Column) -> Column:
 
 
 def candidates(rows: DataFrame, *more: str) -> DataFrame:
-    """``doc_id, text`` with columns ``base_KIND`` and ``more_KIND``: all base matches with ``ok``, all candidates with
+    """``text`` and columns ``more`` with columns ``base_KIND`` and ``more_KIND``: all base matches with ``ok``, all candidates with
     features; candidates that are cut short by another of the same start are kept beside it."""
     text = F.col("text")
     none = F.array().cast("array<struct<start:int,end:int,hit:string>>")
-    out = rows.select("doc_id", *more, F.coalesce("text", F.lit("")).alias("text"))
+    out = rows.select(*more, F.coalesce("text", F.lit("")).alias("text"))
     raw = []
     for kind in KINDS:
         may = text.rlike(NEEDS[kind])
@@ -220,11 +222,11 @@ def candidates(rows: DataFrame, *more: str) -> DataFrame:
         # a space before the text, as a zero-width match at its very start would be no place to split
         found = [spans("concat(' ', text)", g, 1, -1) for g in GENERATORS[kind]]
         raw.append(F.when(may, F.concat(*found)).otherwise(none).alias(f"more_{kind}"))
-    out = out.select("doc_id", *more, "text", *raw)
+    out = out.select(*more, "text", *raw)
     some = reduce(lambda a, b: a + b, (F.size(f"more_{k}") for k in KINDS)) > 0
     blocks = F.when(some, F.regexp_extract_all(text, F.lit(f"(?s).{{1,{1 << BLOCK_BITS}}}"), F.lit(0)))
-    out = out.select("doc_id", *more, *(f"{a}_{k}" for k in KINDS for a in ("base", "more")), blocks.alias("blocks"))
-    out = out.select("doc_id", *more, *(f"base_{k}" for k in KINDS), *map(placed_in_context, KINDS))
+    out = out.select(*more, *(f"{a}_{k}" for k in KINDS for a in ("base", "more")), blocks.alias("blocks"))
+    out = out.select(*more, *(f"base_{k}" for k in KINDS), *map(placed_in_context, KINDS))
 
     def with_check(kind: str) -> Column:
         return F.transform(f"base_{kind}", lambda c: F.struct(
@@ -235,58 +237,67 @@ def candidates(rows: DataFrame, *more: str) -> DataFrame:
             c["start"].alias("start"), c["end"].alias("end"), features(kind, c).alias("x"))).alias(f"more_{kind}")
 
     checked = [make(k) for k in KINDS for make in (with_check, with_features)]
-    return out.select("doc_id", *more, *checked)
+    return out.select(*more, *checked)
 
 
 # --- learning ---------------------------------------------------------------------------------------------------
 
 
-def planted(sample: DataFrame) -> DataFrame:
-    """``doc_id, text, kind, start, end``: texts of ``sample`` in which one base span is written in a way of PLANTED.
+def planted(rows: DataFrame) -> DataFrame:
+    """``part, kind, text, start, end``: pieces of ``part, text`` rows around one base span, written in a way of PLANTED.
 
     Of each text the first span of each kind that has such ways; the way follows from the text's hash. Positions are those
-    of the rewritten span.
+    of the rewritten span in the piece, which holds all that decides on a candidate there.
     """
-    parts = []
-    for kind, ways in PLANTED.items():
-        first = F.get(F.filter(spans("text", BASE[kind]), lambda c: valid(kind, c["hit"])), 0)
-        rows = sample.where(F.col("text").rlike(NEEDS[kind])).withColumn("s", first).where("s is not null")
+    def sown(kind: str, ways: list[tuple[str, str]]) -> Column:
         way = F.pmod(F.xxhash64("text"), F.lit(len(ways)))
-        new = F.coalesce(*[F.when(way == i, F.regexp_replace("s.hit", *w)) for i, w in enumerate(ways)])
-        rows = rows.withColumn("new", new).where(F.col("new") != F.col("s.hit"))
-        parts.append(rows.select(
-            "doc_id", F.concat(F.substr("text", F.lit(1), F.col("s.start")), "new", F.substr("text", F.col("s.end") + 1)).alias("text"),
-            F.lit(kind).alias("kind"), F.col("s.start").alias("start"), (F.col("s.start") + F.length("new")).alias("end")))
-    return reduce(DataFrame.unionAll, parts)
+        rewritten = lambda s: F.coalesce(
+            *[F.when(way == i, F.regexp_replace(s["hit"], *w)) for i, w in enumerate(ways)])
 
+        def piece(s: Column, new: Column) -> Column:
+            lead = F.least(s["start"], F.lit(BEFORE))
+            text = F.concat(
+                F.substr("text", s["start"] - lead + 1, lead), new, F.substr("text", s["end"] + 1, F.lit(BEHIND)))
+            return F.when(new != s["hit"], F.struct(
+                F.lit(kind).alias("kind"), text.alias("text"), lead.alias("start"), (lead + F.length(new)).alias("end")))
 
-def examples(sample: DataFrame) -> DataFrame:
-    """``kind, part, x, y`` of candidates in ``doc_id, text`` rows: what the base decides, and planted positives."""
-    found = candidates(sample)
-    matches = F.concat(*(F.col(f"base_{k}") for k in KINDS))
+        valid_ones = F.filter(spans("text", BASE[kind]), lambda c: valid(kind, c["hit"]))
+        first = F.when(F.col("text").rlike(NEEDS[kind]), F.get(valid_ones, F.lit(0)))
+        return bound(first, lambda s: bound(rewritten(s), lambda new: piece(s, new)))
+
+    pieces = F.array_compact(F.array(*(sown(kind, ways) for kind, ways in PLANTED.items())))
+    # the outer form, here and below: the inner one makes Catalyst evaluate the array a second time to test its size
+    return rows.select("part", F.inline_outer(pieces)).where("kind is not null")
+
+
+def examples(rows: DataFrame) -> DataFrame:
+    """``kind, part, x, y, n``: candidates in ``doc_id, text`` rows that the base decides, and planted positives, with how
+    many they are. A third of the ids, or of the texts where the id is null, is ``part`` 0."""
+    part = F.pmod(F.xxhash64(F.coalesce("doc_id", F.xxhash64("text"))), F.lit(3)).alias("part")
+    dealt = rows.where("text is not null").select(part, "text")
 
-    def decided(kind: str) -> Column:
+    def decided(kind: str, meets: Callable) -> Column:
         # apart from all matches, a form that the base rule reads whole is no such data; other forms it has not decided
         plain = lambda c: c["x"][_AT["masked"]] == 0 if kind != "phone" else c["x"][_AT["valid"]] == 0
 
-        def judged(c: Column, begun: Callable, meets: Callable) -> Column:
+        def judged(c: Column, begun: Callable) -> Column:
             b = F.get(F.col(f"base_{kind}"), begun(c["start"]) - 1)  # the last match of the kind that begins by then
             return bound(F.when((b["start"] == c["start"]) & (b["end"] == c["end"]), b["ok"]), lambda ok: F.when(
                 ok, 1.0).when(~ok | (~meets(c) & plain(c)), 0.0))
 
-        return meeting(matches, lambda meets: ranked(
-            F.transform(f"base_{kind}", lambda b: b["start"]), lambda begun: F.transform(
-                f"more_{kind}", lambda c: F.struct(c["x"].alias("x"), judged(c, begun, meets).alias("y")))))
+        return ranked(F.transform(f"base_{kind}", lambda b: b["start"]), lambda begun: F.transform(
+            f"more_{kind}", lambda c: F.struct(F.lit(kind).alias("kind"), c["x"].alias("x"), judged(c, begun).alias("y"))))
 
-    part = F.pmod(F.xxhash64("doc_id"), F.lit(3)).alias("part")
-    parts = [found.select(F.lit(k).alias("kind"), part, F.inline(decided(k))) for k in KINDS]
-    sown = planted(sample)
-    for kind in PLANTED:
-        again = candidates(sown.where(F.col("kind") == kind), "kind", "start", "end")
-        hit = F.filter(f"more_{kind}", lambda c: (c["start"] == F.col("start")) & (c["end"] == F.col("end")))
-        parts.append(again.select(F.lit(kind).alias("kind"), part, F.inline(F.transform(
-            hit, lambda c: F.struct(c["x"].alias("x"), F.lit(1.0).alias("y"))))))
-    return reduce(DataFrame.unionAll, parts).where("y is not null")
+    matches = F.concat(*(F.col(f"base_{k}") for k in KINDS))
+    found = candidates(dealt, "part").select("part", F.inline_outer(
+        meeting(matches, lambda meets: F.concat(*(decided(k, meets) for k in KINDS)))))
+    again = candidates(planted(dealt), "part", "kind", "start", "end")
+    of_kind = F.coalesce(*(F.when(F.col("kind") == k, F.col(f"more_{k}")) for k in PLANTED))
+    hit = F.filter(of_kind, lambda c: (c["start"] == F.col("start")) & (c["end"] == F.col("end")))
+    again = again.select("part", "kind", F.inline_outer(F.transform(
+        hit, lambda c: F.struct(c["x"].alias("x"), F.lit(1.0).alias("y")))))
+    known = found.unionByName(again).where("y is not null")
+    return known.groupBy("kind", "part", "x", "y").agg(F.count(F.lit(1)).alias("n"))
 
 
 def tree_expression(debug: str, x: Column | None = None) -> str:
@@ -305,9 +316,18 @@ def tree_expression(debug: str, x: Column | None = None) -> str:
 
 
 def boosted(train: DataFrame) -> str:
-    """SQL for the probability of a candidate ``c``, from boosted trees fitted to ``x, y``."""
-    rows = train.select(array_to_vector(F.col("x")).alias("features"), F.col("y").alias("label"))
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=1, minInstancesPerNode=5).fit(rows)
+    """SQL for the probability of a candidate ``c``, from boosted trees fitted to ``x, y`` of weight ``n``.
+
+    A leaf has LEAF examples at least, by weight. Spark draws the cut points from max(bins squared, 10,000) rows: the bins are
+    as many as it takes to read all rows there.
+    """
+    rows = train.select(
+        array_to_vector(F.col("x")).alias("features"), F.col("y").alias("label"), F.col("n").cast("double").alias("weight"))
+    size = rows.agg(F.count(F.lit(1)).alias("rows"), F.sum("weight").alias("weight")).first()
+    model = GBTClassifier(
+        maxIter=TREES, maxDepth=DEPTH if size["weight"] >= 2 * LEAF else 0, stepSize=0.3, seed=1, weightCol="weight",
+        minWeightFractionPerNode=min((LEAF - 0.5) / size["weight"], 0.49),
+        maxBins=max(32, math.isqrt(size["rows"]) + 1)).fit(rows)
     trees = zip(model.treeWeights, model.trees, strict=True)
     total = " + ".join(f"{float(w)!r}D * ({tree_expression(t.toDebugString)})" for w, t in trees)
     return f"1D / (1D + exp(-2D * ({total})))"
@@ -316,7 +336,7 @@ def boosted(train: DataFrame) -> str:
 def thresholds(scores: DataFrame) -> dict[str, float]:
     """For each kind the lowest probability (in steps of 0.001) from which on PRECISION holds; none if there is none."""
     steps = scores.groupBy("kind", F.round("p", 3).alias("p")).agg(
-        F.sum("y").alias("good"), F.count(F.lit(1)).alias("n")).collect()  # at most 1001 steps a kind
+        F.sum(F.col("y") * F.col("n")).alias("good"), F.sum("n").alias("n")).collect()  # at most 1001 steps a kind
     out = {}
     for kind in KINDS:
         good = n = 0
@@ -328,16 +348,14 @@ def thresholds(scores: DataFrame) -> dict[str, float]:
 
 
 def learn(rows: DataFrame) -> tuple[str, dict[str, float]]:
-    """The score expression and the thresholds, from ``doc_id, text``; no thresholds if a class is missing."""
-    ids = rows.where("doc_id is not null").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_DOCS)
-    sample = rows.join(F.broadcast(ids.distinct()), "doc_id")
-    known = written_once(examples(written_once(sample.where("text is not null"), "pii-sample")), "pii-examples")
+    """The score expression and the thresholds, from all of ``doc_id, text``; no thresholds if a class is missing."""
+    known = written_once(examples(rows), "pii-examples")
     train = known.where("part <> 0")
     if train.select("y").distinct().count() < 2:
         return "0D", {}
     score = boosted(train)
-    held = known.where("part = 0").select("kind", "y", F.struct("x").alias("c")).select(
-        "kind", "y", F.expr(score).alias("p"))
+    held = known.where("part = 0").select("kind", "y", "n", F.struct("x").alias("c")).select(
+        "kind", "y", "n", F.expr(score).alias("p"))
     return score, thresholds(held)
 
 
@@ -348,11 +366,11 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """``doc_id, text, base, added``: arrays of ``kind`` (number in KINDS), ``start, end``, in that order; one row a row.
 
     Positions are code points, ends exclusive. A null or empty text has no spans; repeated rows get equal spans; texts of any
-    length are searched whole, in time about proportional to it unless learned spans overlap in one long chain, and other columns, whatever their names, are not read. Where the sample shows no candidate of both classes, nothing is added. An empty table gives no rows.
+    length are searched whole, in time about proportional to it unless learned spans overlap in one long chain, and other columns, whatever their names, are not read. Where the texts show no candidate of both classes, nothing is added. An empty table gives no rows.
     """
     rows = id_and_text(docs, id_col, text_col)
     score, least = learn(rows)
-    found = candidates(rows)
+    found = candidates(rows, "doc_id")
     place = "array<struct<kind:int,start:int,end:int>>"
     kept = lambda i, k: F.transform(F.filter(f"base_{k}", lambda b: b["ok"]), lambda b: F.struct(
         F.lit(i).alias("kind"), b["start"].alias("start"), b["end"].alias("end")))

@@ -154,6 +154,33 @@ def test_pii_of_very_many_candidates(make, monkeypatch):
         assert places[1][name] == [(kind, a + i * len(unit), b + i * len(unit)) for i in range(n)]
 
 
+def test_pii_learns_from_all_documents(spark):
+    """Addresses stand in the last hundredths by hash of the id alone, behind more than 20,000 other documents."""
+    ids = spark.range(21_000).select(F.col("id").alias("doc_id"))
+    last = F.xxhash64("doc_id") > int(2**63 * 0.94)
+    number = F.col("doc_id").cast("string")
+    docs = ids.select("doc_id", F.when(last, F.concat(F.lit("mail to u"), number, F.lit("@host.example now"))).otherwise(
+        F.concat(F.lit("host 10.0.0.1 or 999.1.1."), number % 999)).alias("text"))
+    assert docs.where(~last).count() > 20_000
+    masked = [(-1, "mail to someone (at) host (dot) example now")]
+    docs = docs.unionByName(spark.createDataFrame(masked, docs.schema))
+    found = pii.personal_data(docs).where("doc_id = -1").collect()
+    assert [tuple(s) for s in found[0].added] == [(0, 8, 39)]
+
+
+def test_pii_weights_stand_for_repeats(spark):
+    """Examples with a number count as so many, in leaves, trees and thresholds."""
+    x = lambda digits: [float(digits)] + [0.0] * (len(pii.FEATURES) - 1)
+    rows = [(x(1), 0.0, 4), (x(2), 1.0, 40), (x(3), 0.0, 6)]
+    schema = "x array<double>, y double, n long"
+    once = spark.createDataFrame(rows, schema)
+    repeated = spark.createDataFrame([(v, y, 1) for v, y, n in rows for _ in range(n)], schema)
+    points = once.select(F.struct("x").alias("c"))
+    scores = [[r[0] for r in points.select(F.expr(pii.boosted(t))).collect()] for t in (once, repeated)]
+    assert scores[0] == pytest.approx(scores[1])
+    assert scores[0][0] == scores[0][1] > 0.5 > scores[0][2]  # four make no leaf, six do
+
+
 def test_pii_selects_best_spans_first(spark):
     draw, rows = random.Random(5), []
     for _ in range(60):
