@@ -1,15 +1,16 @@
 """From raw HTML pages to cards and details.
 
 Two generic operators, ``extract_cards`` and ``extract_fields``, find elements by selector; only the ``html``
-column travels to Python, in Arrow batches that are bounded by bytes as well as by rows (``session.ARROW_BATCHES``,
-which ``build_session`` sets), so that large pages need no more memory than many small ones. Every rule about the found texts (ids, links, fallbacks, what to
-skip) is a native expression on top.
+column travels to Python, in Arrow batches that are bounded by bytes as well as by rows (``session.bound_batches``, in
+any session), and there one page at a time; what was found goes back in pieces. So a worker holds one batch, one page
+and one piece, however many pages there are. Every rule about the found texts (ids, links, fallbacks, what to skip) is a
+native expression on top.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import asdict, dataclass, replace
 from functools import reduce
 
@@ -22,10 +23,14 @@ from pyspark.sql import types as T
 from hirelake.functions.text import collapse_space, html_to_text, strip_space
 from hirelake.functions.urls import BASE_URLS, absolute_url, job_id_workua
 from hirelake.operators import html_elements
+from hirelake.session import bound_batches
 
 # workers receive the helper with the function, so it need not be installed on them
 cloudpickle.register_pickle_by_value(html_elements)
 
+#: Characters of pages whose elements go back from Python at once.
+PIECE_CHARS = 4 << 20
+
 # Search queries of the board that is crawled by query, in crawl order.
 QUERIES = (
     {"query_name": "data_engineer", "query_text": "data engineer", "role_family": "data_engineer"},
@@ -68,11 +73,20 @@ def _elements_udf(root: str | None, fields: Mapping[str, Elements]):
     row = T.StructType([T.StructField(name, T.ArrayType(T.StringType())) for name in fields])
     arrow_type = pa.list_(pa.struct([(name, pa.list_(pa.string())) for name in fields]))
     plain = {name: asdict(f) for name, f in fields.items()}
-    find = html_elements.page_elements
-
-    def elements(html: pa.Array) -> pa.Array:
-        found = [None if h is None else find(h, root, plain) for h in html.to_pylist()]
-        return pa.array(found, type=arrow_type)
+    find, most = html_elements.page_elements, PIECE_CHARS
+
+    def elements(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for pages in batches:
+            found, chars = [], 0
+            for page in pages:
+                html = page.as_py()
+                found.append(None if html is None else find(html, root, plain))
+                chars += len(html or "")
+                if chars >= most:
+                    yield pa.array(found, type=arrow_type)
+                    found, chars = [], 0
+            if found:
+                yield pa.array(found, type=arrow_type)
 
     return F.arrow_udf(elements, T.ArrayType(row))
 
@@ -91,6 +105,7 @@ def _may_hold(html: Column, selector: str) -> Column:
 def _called_once(pages: DataFrame, call: Column, name: str) -> DataFrame:
     """Add the call's result as a column. A generator of one row keeps later references from calling again, while
     filters on the pages' own columns pass below it, to the scan."""
+    bound_batches(pages.sparkSession)
     return pages.select("*", F.explode_outer(F.array(call)).alias(name))
 
 

@@ -27,6 +27,22 @@ DEFAULTS = {
 _MIB = 1 << 20
 
 
+def _bytes(stated: str) -> int:
+    """A size as Spark states it: a number, with or without a unit."""
+    number, unit = re.fullmatch(r"\s*(-?\d+)\s*([bkmgtp]?)b?\s*", stated.lower()).groups()
+    return int(number) << 10 * "bkmgtp".index(unit or "b")
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lower the session's bounds of Arrow batches to ARROW_BATCHES, if they are wider or none; tighter ones stay.
+
+    Spark takes these bounds from the session alone, so a step that sends whole pages to Python needs them there.
+    """
+    for key, most in ARROW_BATCHES.items():
+        if not 0 < _bytes(spark.conf.get(key)) <= int(most):
+            spark.conf.set(key, most)
+
+
 def scale_conf(input_bytes: int) -> dict[str, str]:
     """Split and shuffle sizes for an input of so many bytes.
 

@@ -220,3 +220,39 @@ def test_batches_of_large_pages_are_bounded_by_bytes(spark):
         assert [r.title for r in found.select("title").collect()] == [["T"]] * 40
     finally:
         spark.conf.set(bound, before)
+
+
+def test_pages_reach_python_in_bounded_batches_in_any_session(spark):
+    """A session without bounds of its own: the step lowers them, keeps tighter ones, and a worker reads page by page."""
+    from hirelake.session import ARROW_BATCHES
+
+    before = {key: spark.conf.get(key) for key in ARROW_BATCHES}
+    tight = dict.fromkeys(ARROW_BATCHES, "500")
+    try:
+        for stated, wanted in (
+            (dict(zip(ARROW_BATCHES, ("256MB", "10000"), strict=True)), ARROW_BATCHES),
+            (dict(zip(ARROW_BATCHES, ("2147483647", "0"), strict=True)), ARROW_BATCHES), (tight, tight),
+        ):
+            for key, value in stated.items():
+                spark.conf.set(key, value)
+            pages = spark.range(0, 10, 1, 1).select(F.concat(F.lit("<h1>"), "id", F.lit("</h1>")).alias("html"))
+            found = extract.extract_fields(pages, {"title": extract.element("h1")})
+            assert {key: spark.conf.get(key) for key in ARROW_BATCHES} == wanted
+            assert [r.title for r in found.collect()] == [[str(i)] for i in range(10)]
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def test_elements_go_back_in_pieces(monkeypatch):
+    """Of a batch of ten pages no more than a piece is held; nulls and order stay."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(extract, "PIECE_CHARS", 20)
+    step = extract._elements_udf("i", {"t": extract.element("b")}).func
+    pages = pa.array([None if n == 4 else f"<i><b>{n}</b></i>" for n in range(10)], pa.string())
+    pieces = list(step(iter([pages, pages[:0], pages[:3]])))
+    assert max(map(len, pieces)) <= 3 and len(pieces) > 5
+    found = [row for piece in pieces for row in piece.to_pylist()]
+    one = lambda n: None if n == 4 else [{"t": [str(n)]}]
+    assert found == [one(n) for n in (*range(10), *range(3))]
